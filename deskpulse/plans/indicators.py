@@ -133,7 +133,7 @@ SELECT :branch AS Id, date AS fecha, proyecto, flujo,
        sum(try_cast(diferencia_tiempo_festivos AS double)) AS total_tiempo,
        sum(try_cast(sum_casos_ok AS double)) AS sum_casos_ok
 FROM IDENTIFIER(:view)
-WHERE array_contains(:flows, flujo)
+WHERE array_contains(CAST(:flows AS array<string>), flujo)
 GROUP BY date, proyecto, flujo,
          CASE WHEN :branch = 1 THEN :all_requests ELSE tipo_solicitud END
 """
@@ -147,6 +147,6 @@ def rollup_by_sql(spark, view, branch, flows):
             "branch": branch,
             "view": view,
             "all_requests": ALL_REQUESTS,
-            "flows": F.array(*[F.lit(f) for f in flows]).cast("array<string>"),
+            "flows": F.array(*[F.lit(f) for f in flows]),
         },
     )
