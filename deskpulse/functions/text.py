@@ -43,22 +43,36 @@ def hundredths_text(seconds, minus_days=None):
     )
 
 
-def float_text(column):
-    """A double as the shortest text that reads back to it: 4.0, 1e-05, 12345678.0."""
-    value = _as_column(column).cast("double")
-    plain = value.cast("string")
-    # Short texts without an exponent are already right.
-    simple = ~plain.contains("E") & (F.length(plain) <= 16)
+def _let(value, use):
+    """use(value) with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    long_form = F.format_string("%.16e", value)
-    short_form = F.format_string("%.15e", value)
-    best = F.when(short_form.try_cast("double") == value, short_form).otherwise(long_form)
-    digits = F.rtrim(
-        F.translate(F.translate(F.substring_index(best, "e", 1), "-.", ""), "0", " ")
+
+def _decimal_parts(value, plain):
+    """The number as whole * 10**power, from its text; one digit shorter where that suffices.
+
+    Older Java versions spell some doubles with 17 digits where 16 read back the same.
+    """
+    mantissa = F.substring_index(plain, "E", 1)
+    exponent = F.when(plain.contains("E"), F.substring_index(plain, "E", -1).cast("int")).otherwise(0)
+    return _let(
+        F.struct(
+            F.translate(mantissa, ".", "").cast("bigint").alias("whole"),
+            (exponent - F.length(mantissa) + F.instr(mantissa, ".")).alias("power"),
+        ),
+        lambda long: _let(
+            F.call_function("div", long["whole"] + 5, F.lit(10)),
+            lambda short: F.when(
+                (long["whole"] >= 10**16)
+                & (F.concat(short.cast("string"), F.lit("E"), (long["power"] + 1).cast("string")).cast("double") == value),
+                F.struct(short.alias("whole"), (long["power"] + 1).alias("power")),
+            ).otherwise(long),
+        ),
     )
-    digits = F.translate(digits, " ", "0")
-    power = F.substring_index(best, "e", -1).try_cast("int")
 
+
+def _laid_out(digits, power):
+    """Significant digits and the power of ten of the first one as Python spells them."""
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
     large = F.concat(
         F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0")),
@@ -71,16 +85,37 @@ def float_text(column):
         F.when(power < 0, "e-").otherwise("e+"),
         F.lpad(F.abs(power).cast("string"), 2, "0"),
     )
-    laid_out = (
+    return (
         F.when((power >= -4) & (power < 0), small)
         .when((power >= 0) & (power < 16), large)
         .otherwise(scientific)
     )
+
+
+def float_text(column):
+    """A double as the shortest text that reads back to it: 4.0, 1e-05, 12345678.0.
+
+    Beyond 2**53 the last digit may be another one that reads back the same.
+    """
+    value = _as_column(column).cast("double")
+    plain = value.cast("string")
+    # Short texts without an exponent are already right.
+    simple = ~plain.contains("E") & (F.length(plain) <= 16)
+    size = F.abs(value)
+    spelled = _let(
+        _decimal_parts(size, size.cast("string")),
+        lambda parts: _let(
+            parts["whole"].cast("string"),
+            lambda text: _laid_out(
+                F.rtrim(text, F.lit("0")), parts["power"] + F.length(text) - 1
+            ),
+        ),
+    )
     return (
         F.when(F.isnan(value), "nan")
-        .when(F.abs(value) == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
+        .when(size == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
         .when(simple, plain)
-        .otherwise(F.concat(F.when(value < 0, "-").otherwise(""), laid_out))
+        .otherwise(F.concat(F.when(value < 0, "-").otherwise(""), spelled))
     )
 
 

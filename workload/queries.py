@@ -163,7 +163,7 @@ def _tickets(spark, sf):
 
 
 def _categories(spark, sf):
-    return t.categories_of(t.order_description(spark, sf))
+    return t.order_categories(spark, sf)
 
 
 def ticket_list(spark, sf):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from deskpulse.operators.combine import union_all
-from deskpulse.schemas import ALL_REQUESTS, KEY_REPAIRS, NAME_REPAIRS, STANDARD
+from deskpulse.schemas import ALL_REQUESTS, INDICATOR_TYPES, KEY_REPAIRS, NAME_REPAIRS, STANDARD
 
 EVENT_YEARS = (2024,)
 ORDER_YEARS = tuple(range(1995, 2003))
@@ -49,6 +49,22 @@ def holidays(spark, sf_dir):
     return table(spark, sf_dir, "region").select(F.concat(day, F.lit("/01/2019")).alias("date"))
 
 
+def _order_flows(spark, sf_dir):
+    """Orders with project, flow and request type; some requests missing or 'Todas'."""
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    key = F.col("o_orderkey")
+    request = (
+        F.when(key % 51 == 0, None).when(key % 50 == 0, ALL_REQUESTS).otherwise(F.col("o_orderstatus"))
+    )
+    return table(spark, sf_dir, "orders").join(customers, "o_custkey").withColumns(
+        {
+            "proyecto": F.col("c_mktsegment"),
+            "flujo": F.col("o_orderpriority"),
+            "tipo_solicitud": request,
+        }
+    )
+
+
 def order_description(spark, sf_dir):
     """One ticket per order, exported twice, with unset volumes and missing cells."""
     lines = (
@@ -59,28 +75,27 @@ def order_description(spark, sf_dir):
             F.count_if(F.col("l_returnflag") == "A").cast("double").alias("returned"),
         )
     )
-    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
     key = F.col("o_orderkey")
-    joined = (
-        table(spark, sf_dir, "orders")
-        .join(customers, "o_custkey")
+    return (
+        _order_flows(spark, sf_dir)
         .join(lines, "o_orderkey", "left")
+        .select(
+            key.cast("string").alias("id_ticket"),
+            "proyecto",
+            "flujo",
+            "tipo_solicitud",
+            F.col("c_nationkey").cast("string").alias("pais"),
+            F.col("o_totalprice").alias("importe"),
+            F.when(key % 40 == 0, -1.0).otherwise(F.col("lines")).alias("volumen_total_casos"),
+            F.when(key % 30 == 0, -1.0).otherwise(F.col("returned")).alias("total_casos_ok"),
+            F.explode(F.array(F.col("c_name"), F.lit(None).cast("string"))).alias("user_name"),
+            F.date_format("o_orderdate", "yyyyMMdd").alias("date"),
+        )
     )
-    return joined.select(
-        key.cast("string").alias("id_ticket"),
-        F.col("c_mktsegment").alias("proyecto"),
-        F.col("o_orderpriority").alias("flujo"),
-        F.when(key % 51 == 0, None)
-        .when(key % 50 == 0, ALL_REQUESTS)
-        .otherwise(F.col("o_orderstatus"))
-        .alias("tipo_solicitud"),
-        F.col("c_nationkey").cast("string").alias("pais"),
-        F.col("o_totalprice").alias("importe"),
-        F.when(key % 40 == 0, -1.0).otherwise(F.col("lines")).alias("volumen_total_casos"),
-        F.when(key % 30 == 0, -1.0).otherwise(F.col("returned")).alias("total_casos_ok"),
-        F.explode(F.array(F.col("c_name"), F.lit(None).cast("string"))).alias("user_name"),
-        F.date_format("o_orderdate", "yyyyMMdd").alias("date"),
-    )
+
+
+def order_categories(spark, sf_dir):
+    return categories_of(_order_flows(spark, sf_dir))
 
 
 def order_verdicts(spark, sf_dir):
@@ -129,27 +144,32 @@ def categories_of(description):
         .select("proyecto", "flujo", "tipo_solicitud")
         .distinct()
     )
-    kinds = F.array(F.lit("Q"), F.lit("ANS"), F.lit("KPI"))
-    over_all = (
-        seen.select("proyecto", "flujo")
+    request, flow = F.col("tipo_solicitud"), F.col("flujo")
+    own_kind = F.when(request == "O", "Q").when(request == "F", "ANS").otherwise("KPI")
+    wanted = F.explode(
+        F.array(
+            *[F.struct(F.lit(k).alias("kind"), F.lit(ALL_REQUESTS).alias("request")) for k in INDICATOR_TYPES],
+            F.struct(own_kind.alias("kind"), request.alias("request")),
+        )
+    )
+    left_out = "request = 'Todas' AND (kind, flujo) IN (('ANS', '5-LOW'), ('KPI', 'Flujo 0'))"
+    rows = (
+        seen.select("proyecto", flow, wanted.alias("wanted"))
+        .select("proyecto", "flujo", "wanted.*")
+        .filter(f"NOT ({left_out})")
         .distinct()
-        .select("proyecto", "flujo", F.lit(ALL_REQUESTS).alias("tipo_solicitud"), F.explode(kinds).alias("kind"))
-        .filter("NOT (kind = 'ANS' AND flujo = '5-LOW') AND NOT (kind = 'KPI' AND flujo = 'Flujo 0')")
     )
-    request = F.col("tipo_solicitud")
-    single = seen.withColumn("kind", F.when(request == "O", "Q").when(request == "F", "ANS").otherwise("KPI"))
-    key = F.concat_ws("_", "proyecto", "flujo", "tipo_solicitud")
-    return over_all.unionByName(single).select(
+    return rows.select(
         F.concat_ws("-", "kind", "proyecto", "flujo").alias("col0"),
         F.col("kind").alias("col1"),
         F.concat(F.lit("Indicador "), F.col("kind")).alias("col2"),
         F.col("proyecto").alias("col3"),
         F.col("proyecto").alias("col4"),
         F.col("flujo").alias("col5"),
-        request.alias("col6"),
+        F.col("request").alias("col6"),
         F.lit("fichero").alias("col7"),
         F.lit("sin uso").alias("col8"),
-        key.alias("col9"),
+        F.concat_ws("_", "proyecto", "flujo", "request").alias("col9"),
     )
 
 
