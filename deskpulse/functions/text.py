@@ -43,36 +43,13 @@ def hundredths_text(seconds, minus_days=None):
     )
 
 
-def _let(value, use):
-    """use(value) with the value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def whole_number_text(column):
+    """A double without decimals below ten million as text: 4.0."""
+    return _as_column(column).cast("double").cast("string")
 
 
-def _decimal_parts(value, plain):
-    """The number as whole * 10**power, from its text; one digit shorter where that suffices.
-
-    Older Java versions spell some doubles with 17 digits where 16 read back the same.
-    """
-    mantissa = F.substring_index(plain, "E", 1)
-    exponent = F.when(plain.contains("E"), F.substring_index(plain, "E", -1).cast("int")).otherwise(0)
-    return _let(
-        F.struct(
-            F.translate(mantissa, ".", "").cast("bigint").alias("whole"),
-            (exponent - F.length(mantissa) + F.instr(mantissa, ".")).alias("power"),
-        ),
-        lambda long: _let(
-            F.call_function("div", long["whole"] + 5, F.lit(10)),
-            lambda short: F.when(
-                (long["whole"] >= 10**16)
-                & (F.concat(short.cast("string"), F.lit("E"), (long["power"] + 1).cast("string")).cast("double") == value),
-                F.struct(short.alias("whole"), (long["power"] + 1).alias("power")),
-            ).otherwise(long),
-        ),
-    )
-
-
-def _laid_out(digits, power):
-    """Significant digits and the power of ten of the first one as Python spells them."""
+def _spelled(value, plain, digits, power):
+    """Text of a double from its significant digits and the power of ten of the first."""
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
     large = F.concat(
         F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0")),
@@ -85,38 +62,77 @@ def _laid_out(digits, power):
         F.when(power < 0, "e-").otherwise("e+"),
         F.lpad(F.abs(power).cast("string"), 2, "0"),
     )
-    return (
+    laid_out = (
         F.when((power >= -4) & (power < 0), small)
         .when((power >= 0) & (power < 16), large)
         .otherwise(scientific)
     )
+    return (
+        F.when(F.isnan(value), "nan")
+        .when(F.abs(value) == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
+        .when(value == 0, plain)
+        .otherwise(F.concat(F.when(value < 0, "-").otherwise(""), laid_out))
+    )
+
 
+def with_float_texts(df, *names):
+    """Turn double columns into the shortest texts that read back to them.
 
-def float_text(column):
-    """A double as the shortest text that reads back to it: 4.0, 1e-05, 12345678.0.
+    4.0, 1e-05 or 12345678.0, as Python writes them. Beyond 2**53 the last digit may
+    be another one that reads back the same. Each step is a projection of its own, so
+    every part is computed once per row and stays in generated code.
 
-    Beyond 2**53 the last digit may be another one that reads back the same.
+    The text of the cast gives the digits. Older Java versions spell some doubles with
+    17 digits where 16 read back the same, so the rounded 16 are tried for those.
     """
-    value = _as_column(column).cast("double")
-    plain = value.cast("string")
-    # Short texts without an exponent are already right.
-    simple = ~plain.contains("E") & (F.length(plain) <= 16)
-    size = F.abs(value)
-    spelled = _let(
-        _decimal_parts(size, size.cast("string")),
-        lambda parts: _let(
-            parts["whole"].cast("string"),
-            lambda text: _laid_out(
-                F.rtrim(text, F.lit("0")), parts["power"] + F.length(text) - 1
-            ),
-        ),
+
+    def step(df, **parts):
+        return df.withColumns({f"_{n}_{part}": f(n) for n in names for part, f in parts.items()})
+
+    def part(name, of):
+        return F.col(f"_{of}_{name}")
+
+    def long_digits(n):
+        return F.translate(F.substring_index(F.ltrim(part("plain", n), F.lit("-")), "E", 1), ".", "")
+
+    def decimals(n):
+        mantissa = F.substring_index(part("plain", n), "E", 1)
+        return F.length(mantissa) - F.instr(mantissa, ".")
+
+    def exponent(n):
+        plain = part("plain", n)
+        return F.when(plain.contains("E"), F.substring_index(plain, "E", -1).try_cast("int")).otherwise(0)
+
+    def short_reads_back(n):
+        text = F.concat(part("short", n).cast("string"), F.lit("E"), (part("power", n) + 1).cast("string"))
+        return (part("whole", n) >= 10**16) & (text.try_cast("double") == F.abs(F.col(n)))
+
+    df = df.withColumns({n: F.col(n).cast("double") for n in names})
+    df = step(df, plain=lambda n: F.col(n).cast("string"))
+    df = step(
+        df,
+        whole=lambda n: long_digits(n).try_cast("bigint"),
+        power=lambda n: exponent(n) - decimals(n),
     )
-    return (
-        F.when(F.isnan(value), "nan")
-        .when(size == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
-        .when(simple, plain)
-        .otherwise(F.concat(F.when(value < 0, "-").otherwise(""), spelled))
+    df = step(df, short=lambda n: F.call_function("div", part("whole", n) + 5, F.lit(10)))
+    df = step(df, is_short=short_reads_back)
+    df = step(
+        df,
+        text=lambda n: F.when(part("is_short", n), part("short", n)).otherwise(part("whole", n)).cast("string"),
+    )
+    df = step(
+        df,
+        digits=lambda n: F.rtrim(part("text", n), F.lit("0")),
+        first=lambda n: part("power", n)
+        + F.when(part("is_short", n), 1).otherwise(0)
+        + F.length(part("text", n))
+        - 1,
     )
+    texts = {
+        n: _spelled(F.col(n), part("plain", n), part("digits", n), part("first", n)) for n in names
+    }
+    kept = [c for c in df.columns if not any(c.startswith(f"_{n}_") for n in names)]
+    return df.select(*[texts[c].alias(c) if c in texts else F.col(c) for c in kept])
 
 
 def nan_text_as_zero(column):

@@ -80,7 +80,7 @@ def detail_of(visited):
         F.when(missing, NO_NEXT).otherwise(F.col("next_state")).alias("Estadofinal"),
         F.when(missing, NO_NEXT).otherwise(F.col("next_time")).alias("FechaFinal"),
         dates.closing_text("end_day").alias("date"),
-        text.float_text("off_days").alias("dias_festivos"),
+        text.whole_number_text("off_days").alias("dias_festivos"),
         text.hundredths_text("seconds").alias("diferencia_tiempo_dias"),
         F.when(net > 0, text.hundredths_text("seconds", "off_days"))
         .otherwise("0.00")

@@ -83,10 +83,13 @@ def verdict_table(verdicts, sort=False):
         "id_ticket",
         dates.closing_text("end_day").alias("date"),
         F.col("seconds").alias("Diferencia_tiempo"),
-        text.float_text("off_days").alias("dias_festivos"),
-        text.float_text("net_days").alias("diferencia_tiempo_festivos"),
-        text.float_text("days").alias("Diferencia_tiempo_dias"),
+        text.whole_number_text("off_days").alias("dias_festivos"),
+        F.col("net_days").alias("diferencia_tiempo_festivos"),
+        F.col("days").alias("Diferencia_tiempo_dias"),
         "ok_ko",
+    )
+    published = text.with_float_texts(
+        published, "diferencia_tiempo_festivos", "Diferencia_tiempo_dias"
     ).select(*VERDICT_COLUMNS)
     return published.orderBy("id_ticket") if sort else published
 

@@ -42,10 +42,12 @@ def ticket_list(description, verdicts):
     )
     judged = first_per_key(dated_verdicts(verdicts), ["id_ticket", "date"])
     joined = described.join(judged, "id_ticket")
-    credit = text.nan_text_as_zero(
-        text.float_text(credited_cases("ok_ko", "volumen_total_casos"))
+    credit = credited_cases("ok_ko", "volumen_total_casos")
+    credited = insert_column(joined, CREDIT_POSITION, "sum_casos_ok", credit)
+    published = text.with_float_texts(credited, "sum_casos_ok").withColumn(
+        "sum_casos_ok", text.nan_text_as_zero("sum_casos_ok")
     )
-    return move_last(insert_column(joined, CREDIT_POSITION, "sum_casos_ok", credit), "date")
+    return move_last(published, "date")
 
 
 def tickets_without_month(tickets):

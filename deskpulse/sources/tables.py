@@ -1,5 +1,6 @@
 """Reading and writing tables, and the shared folder for intermediate ones."""
 
+import re
 import tempfile
 import uuid
 
@@ -7,6 +8,12 @@ from pyspark.sql import functions as F
 
 # Row numbers of different files are kept this far apart.
 FILE_STRIDE = 1 << 40
+URI_SCHEME = "^[A-Za-z0-9]+:/+"
+
+
+def _bare(uri):
+    """A file URI without its scheme, whichever number of slashes follows it."""
+    return re.sub(URI_SCHEME, "/", uri)
 
 
 def read_table(spark, name, schema=None, fmt="parquet"):
@@ -30,18 +37,17 @@ def read_history(spark, path, schema=None):
     rows = read_table(spark, path, schema)
     if "row_seq" in rows.columns:
         return rows
-    names = sorted(rows.inputFiles())
-    ranks = spark.createDataFrame(
-        [(name.split("/")[-1], i) for i, name in enumerate(names)], "_file string, _rank bigint"
-    )
+    names = sorted({_bare(name) for name in rows.inputFiles()})
+    ranks = spark.createDataFrame(list(zip(names, range(len(names)))), "_file string, _rank bigint")
     placed = rows.select(
         "*",
-        F.col("_metadata.file_name").alias("_file"),
+        F.regexp_replace("_metadata.file_path", URI_SCHEME, "/").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     )
+    rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), "_file")).cast("bigint"))
     return (
-        placed.join(ranks, "_file")
-        .withColumn("row_seq", F.col("_rank") * F.lit(FILE_STRIDE) + F.col("_row"))
+        placed.join(ranks, "_file", "left")
+        .withColumn("row_seq", rank * F.lit(FILE_STRIDE) + F.col("_row"))
         .drop("_file", "_rank", "_row")
     )
 

@@ -35,16 +35,21 @@ def test_net_hundredths(spark):
     assert wrong == []
 
 
+def _float_texts(spark, numbers):
+    df = spark.createDataFrame(list(enumerate(numbers)), "i int, v double")
+    return [r.v for r in text.with_float_texts(df, "v").orderBy("i").collect()]
+
+
 def test_float_text_is_the_shortest(spark):
     rng = random.Random(3)
     numbers = [n / 86400 for n in range(1, 20000)] + [float(n) for n in range(50)]
     numbers += [rng.random() * 10 ** rng.randrange(-12, 16) for _ in range(4000)]
     numbers += [1e-05, 1e16, 1e15, 12345678.0, 123456789012345.6, 0.0001, 1e22, 2.0**-44, -2.0**-44, -1e-7, -3.25]
-    got = _column(spark, numbers, "double", text.float_text)
+    got = _float_texts(spark, numbers)
     wrong = [(n, g) for n, g in zip(numbers, got) if g != repr(n)]
     assert wrong == []
-    specials = _column(spark, [float("nan"), float("inf"), float("-inf"), 0.0], "double", text.float_text)
-    assert specials == ["nan", "inf", "-inf", "0.0"]
+    specials = _float_texts(spark, [float("nan"), float("inf"), float("-inf"), 0.0, -0.0, None])
+    assert specials == ["nan", "inf", "-inf", "0.0", "-0.0", None]
 
 
 def test_ticket_time(spark):
