@@ -6,8 +6,8 @@ however long it is:
 * closed form: weekends by arithmetic, holidays from an array with one entry per
   day between the first and the last holiday. The array reaches the tasks as a
   scalar subquery, so the rows are neither joined nor shuffled.
-* calendar join: one row per day of the data's date range with the running
-  number of days off, looked up for both ends with equi-joins.
+* calendar join: one row per day with the running number of days off, looked up for
+  both ends with equi-joins.
 """
 
 import functools
@@ -91,30 +91,22 @@ def business_days(begin, end, holidays_upto):
 
 
 def off_day_calendar(holidays, first, last):
-    """One row per day from first to last (one-row scalar columns) with ``off_upto``.
+    """One row per day from first to last (date columns or scalars) with ``off_upto``.
 
     Running sums are taken inside each year; only the yearly totals, at most one
     row per year, meet in one window.
     """
-    spark = holidays.sparkSession
-    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("day"))
+    days = holidays.sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias("day"))
     marked = (
         days.join(holidays.select("day", F.lit(True).alias("holiday")).distinct(), "day", "left")
         .withColumn("off", (is_weekend("day") | F.col("holiday").isNotNull()).cast("int"))
         .withColumn("year", F.year("day"))
     )
+    earlier = Window.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         marked.groupBy("year")
         .agg(F.sum("off").alias("total"))
-        .select(
-            "year",
-            F.coalesce(
-                F.sum("total").over(
-                    Window.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("before"),
-        )
+        .select("year", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
     )
     within = F.sum("off").over(Window.partitionBy("year").orderBy("day"))
     return (
@@ -124,26 +116,26 @@ def off_day_calendar(holidays, first, last):
     )
 
 
-def with_days_off_by_calendar(rows, begin, end, holidays, name="days_off"):
+def with_days_off_by_calendar(rows, begin, end, calendar, name="days_off"):
     """Append the days off between two date columns by looking both ends up.
 
-    The calendar spans the dates in the rows (bounded by the range of the date
-    type); Spark picks the join by its measured size.
+    The calendar must cover the dates; a date outside fails the job. Spark picks the
+    join by the calendar's size, which the range of dates bounds.
     """
-    span = rows.filter(F.col(end) >= F.col(begin)).agg(
-        F.min(begin).alias("first"), F.max(end).alias("last")
-    )
-    calendar = off_day_calendar(
-        holidays, span.select("first").scalar(), span.select("last").scalar()
-    )
     at_begin = calendar.select(
         F.col("day").alias(begin), (F.col("off_upto") - F.col("off")).alias("_off_before")
     )
     at_end = calendar.select(F.col("day").alias(end), F.col("off_upto").alias("_off_upto"))
-    counted = F.when(F.col(end) >= F.col(begin), F.col("_off_upto") - F.col("_off_before"))
+    counted = F.coalesce(
+        F.col("_off_upto") - F.col("_off_before"),
+        F.raise_error(F.lit("date outside the calendar")).cast("bigint"),
+    )
     return (
         rows.join(at_begin, begin, "left")
         .join(at_end, end, "left")
-        .withColumn(name, F.coalesce(counted, F.lit(0)).cast("double"))
+        .withColumn(
+            name,
+            F.when(F.col(end) >= F.col(begin), counted).otherwise(F.lit(0)).cast("double"),
+        )
         .select(*rows.columns, name)
     )

@@ -61,8 +61,14 @@ def next_in_group(rows, group, time, sequence, values, split_rows=SPLIT_ROWS):
     Groups of normal size are one slice each. A group above ``split_rows`` is cut by
     hour, and an hour of it that is still above by second and by runs of
     ``sequence``. Also appends ``_group`` and ``_slice``, by which the rows leave
-    this step partitioned.
+    this step partitioned. ``split_rows=None`` saves the counting for logs known to
+    have no such group.
     """
+    if split_rows is None:
+        alone = rows.withColumns({"_group": F.struct(*group), "_slice": F.lit(0)})
+        window = Window.partitionBy("_group", "_slice").orderBy(time, sequence)
+        return alone.withColumn("_next", F.lead(F.struct(*values)).over(window))
+
     hour = F.floor(F.unix_seconds(time) / F.lit(3600))
     rows = rows.withColumn("_group", F.struct(*group))
 

@@ -45,7 +45,8 @@ def run_states(history, holidays, detail_path, verdict_path, sla_days=SLA_DAYS,
     """History -> detail and verdict tables. The visits are staged once for both."""
     report, go = _guarded({"history": history})
     if go:
-        visited = stage(visits(history, holidays, **(options or {})), "visits")
+        visited = visits(history, holidays, **(options or {})).drop("_group", "_slice")
+        visited = stage(visited, "visits")
         _write(detail_of(visited), detail_path, report, **sink)
         _write(verdict_table(verdict_of(visited, sla_days)), verdict_path, report, **sink)
     return report

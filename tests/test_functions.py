@@ -139,8 +139,12 @@ def test_days_off_match_numpy(spark, n_holidays):
         ).orderBy("i").collect()
         assert [r.off for r in rows] == want
         assert all(r.on == max((e - b).days + 1, 0) - w for r, (_, b, e), w in zip(rows, pairs, want))
-    joined = calendar.with_days_off_by_calendar(df, "b", "e", table, "off").orderBy("i").collect()
+    whole = calendar.off_day_calendar(table, F.lit(dt.date(2015, 1, 1)), F.lit(dt.date(2023, 12, 31)))
+    joined = calendar.with_days_off_by_calendar(df, "b", "e", whole, "off").orderBy("i").collect()
     assert [r.off for r in joined] == want
+    short = calendar.off_day_calendar(table, F.lit(dt.date(2016, 1, 1)), F.lit(dt.date(2016, 12, 31)))
+    with pytest.raises(Exception, match="outside the calendar"):
+        calendar.with_days_off_by_calendar(df, "b", "e", short, "off").collect()
 
 
 def test_days_off_without_end(spark):

@@ -46,7 +46,7 @@ def _follow(rows, key, order):
     return following
 
 
-@pytest.mark.parametrize("split_rows", [1, 7, 100, 1_000_000])
+@pytest.mark.parametrize("split_rows", [1, 7, 100, 1_000_000, None])
 def test_next_in_group_equals_brute_force(skewed, split_rows):
     rows, df = skewed
     got = next_row.next_in_group(df, ["g", "p"], "ts", "seq", ["state", "seq"], split_rows)

@@ -62,7 +62,7 @@ STEPS = {
                '' AS valor_ant, '' AS medida1, '' AS medida2, '' AS medida3,
                p_type AS "aplicación_proceso", '' AS "alegación",
                CAST(p_size % 12 + 1 AS VARCHAR) AS "calibración", 'externo' AS "descripción"
-        FROM part WHERE p_size % 3 = 0
+        FROM part WHERE p_type = 'ECONOMY'
         UNION ALL
         SELECT 1, 'nuevo ' || c_name, 'alegación',
                '01/' || lpad(CAST(c_nationkey % 12 + 1 AS VARCHAR), 2, '0') || '/2024', '2,5',
@@ -175,6 +175,7 @@ STEPS["landed"] = " UNION ALL ".join(
     [
         _landed_rows(*_PART),
         _landed_rows(*_PART),
+        _landed_rows("part", "p_brand", *_PART[2:]),
         _landed_rows("supplier", "s_name", "'proveedor'", "s_nationkey", "'compras'", "s_nationkey % 12 + 1"),
         _landed_rows("customer", "c_name", "c_mktsegment", "c_nationkey", "'ventas'", "c_nationkey % 12 + 1"),
         _landed_rows("nation", "n_name", "'nación'", "n_regionkey", "'países'", "n_nationkey % 12 + 1"),

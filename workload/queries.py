@@ -114,8 +114,12 @@ def nonbusiness_days(spark, sf):
 
 
 def nonbusiness_days_calendar(spark, sf):
+    """The calendar runs from the first order to the last shipment; reversed pairs count 0."""
+    first = t.table(spark, sf, "orders").agg(F.to_date(F.min("o_orderdate")))
+    last = t.table(spark, sf, "lineitem").agg(F.to_date(F.max("l_shipdate")))
+    days = calendar.off_day_calendar(_order_holidays(spark, sf), first.scalar(), last.scalar())
     counted = calendar.with_days_off_by_calendar(
-        _intervals(spark, sf), "begin_day", "end_day", _order_holidays(spark, sf)
+        _intervals(spark, sf), "begin_day", "end_day", days
     )
     return _interval_text(counted)
 

@@ -216,26 +216,21 @@ def _standard_rows(df, id_, name, value, process, month):
 def landing_tables(spark, sf_dir):
     """Six landed tables of 13 columns and one that is a column short.
 
-    Parts are landed whole and again in two halves, so rows repeat.
+    Parts are landed twice in the same way, so rows repeat.
     """
     part = table(spark, sf_dir, "part")
     month = F.col("p_size") % 12 + 1
 
-    def parts(df):
+    def parts(name):
         return _standard_rows(
-            df,
-            F.concat_ws("-", "p_brand", "p_type"),
-            F.col("p_name"),
-            F.col("p_size").cast("string"),
-            F.col("p_type"),
-            month,
+            part, name, F.col("p_name"), F.col("p_size").cast("string"), F.col("p_type"), month
         )
 
     supplier, customer, nation = (table(spark, sf_dir, t) for t in ("supplier", "customer", "nation"))
     return {
-        "lnd_atr_ans_kpi": parts(part),
-        "lnd_atr_q": parts(part.filter("p_partkey % 2 = 0")),
-        "lnd_neg_zeus_elec": parts(part.filter("p_partkey % 2 = 1")),
+        "lnd_atr_ans_kpi": parts(F.concat_ws("-", "p_brand", "p_type")),
+        "lnd_atr_q": parts(F.concat_ws("-", "p_brand", "p_type")),
+        "lnd_neg_zeus_elec": parts(F.col("p_brand")),
         "lnd_neg_zeus_gas": _standard_rows(
             supplier, F.col("s_name"), F.lit("proveedor"), F.col("s_nationkey").cast("string"),
             F.lit("compras"), F.col("s_nationkey") % 12 + 1,
@@ -260,10 +255,10 @@ def landed(spark, sf_dir):
 
 
 def claims(spark, sf_dir):
-    """Claims on a third of the part keys, and one new key per customer."""
+    """Claims on the keys of economy parts, and one new key per customer."""
     part = table(spark, sf_dir, "part")
     on_parts = _standard_rows(
-        part.filter(F.col("p_size") % 3 == 0),
+        part.filter("p_type = 'ECONOMY'"),
         F.concat_ws("-", "p_brand", "p_type"),
         F.lit("alegación"),
         F.lit("1,9"),
