@@ -4,6 +4,8 @@
 slices that follow the order. ``lead`` runs inside each slice, and the last row of
 a slice takes the first row of the following slice from a small table of slice
 heads. Where the cuts fall changes only the work per task, never the result.
+
+Both functions append ``has_next`` and ``next_<column>`` for each wanted column.
 """
 
 from pyspark.sql import Window
@@ -13,36 +15,45 @@ SPLIT_ROWS = 1_000_000
 MOST_HOT_GROUPS = 100_000
 
 
-def _lead_over_slices(rows, group, slice_columns, order, values, is_split):
-    keys = [*group, *slice_columns]
+def _lead_inside(rows, keys, order, values):
+    """One ``lead`` per column, so that unused ones are dropped before the shuffle."""
     inside = Window.partitionBy(*keys).orderBy(*order)
-    value = F.struct(*values)
+    leads = {f"next_{v}": F.lead(v).over(inside) for v in values}
+    return rows.withColumns({"has_next": F.lead(F.lit(True)).over(inside), **leads})
+
+
+def _lead_over_slices(rows, group, order, values, is_split):
+    keys = [*group, "_slice"]
     at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     heads = (
         rows.filter(is_split)
         .groupBy(*keys)
-        .agg(F.min(at).alias("_at"), F.min_by(value, at).alias("_head"))
+        .agg(F.min(at).alias("_at"), F.min_by(F.struct(*values), at).alias("_head"))
     )
     across = Window.partitionBy(*group).orderBy("_at") if group else Window.orderBy("_at")
     following = heads.select(*keys, F.lead("_head").over(across).alias("_over"))
-    return (
-        rows.withColumn("_next", F.lead(value).over(inside))
-        .join(following, keys, "left")
-        .withColumn("_next", F.coalesce("_next", "_over"))
-        .drop("_over")
-    )
+    joined = _lead_inside(rows, keys, order, values).join(following, keys, "left")
+    known = F.col("has_next").isNotNull()
+    return joined.withColumns(
+        {
+            "has_next": known | F.col("_over").isNotNull(),
+            **{
+                f"next_{v}": F.when(known, F.col(f"next_{v}")).otherwise(F.col("_over")[v])
+                for v in values
+            },
+        }
+    ).drop("_over")
 
 
 def next_in_sequence(rows, sequence, values, chunk_rows=SPLIT_ROWS):
-    """Append ``_next``, a struct of ``values`` from the next row of the whole table.
+    """The next row of the whole table.
 
     ``sequence`` is a distinct whole number per row; it may have gaps. Only one head
     row per ``chunk_rows`` numbers meets in the window over heads.
     """
     chunked = rows.withColumn("_slice", F.floor(F.col(sequence) / F.lit(chunk_rows)))
-    return _lead_over_slices(
-        chunked, [], ["_slice"], [sequence], values, F.col("_slice").isNotNull()
-    )
+    led = _lead_over_slices(chunked, [], [sequence], values, F.col("_slice").isNotNull())
+    return led.drop("_slice")
 
 
 def _hot(counts, keys, split_rows):
@@ -56,21 +67,27 @@ def _hot(counts, keys, split_rows):
 
 
 def next_in_group(rows, group, time, sequence, values, split_rows=SPLIT_ROWS):
-    """Append ``_next`` from the next row, by (time, sequence), of the same group.
+    """The next row, by (time, sequence), of the same group.
 
-    Groups of normal size are one slice each. A group above ``split_rows`` is cut by
-    hour, and an hour of it that is still above by second and by runs of
-    ``sequence``. Also appends ``_group`` and ``_slice``, by which the rows leave
-    this step partitioned. ``split_rows=None`` saves the counting for logs known to
-    have no such group.
-    """
-    if split_rows is None:
-        alone = rows.withColumns({"_group": F.struct(*group), "_slice": F.lit(0)})
-        window = Window.partitionBy("_group", "_slice").orderBy(time, sequence)
-        return alone.withColumn("_next", F.lead(F.struct(*values)).over(window))
+    Groups of normal size stay whole. A group above ``split_rows`` is cut by hour, and
+    an hour of it that is still above by second and by runs of ``sequence``.
+    ``split_rows=None`` saves the counting for logs known to have no such group.
 
+    The group columns travel once, as the struct ``_group``. Together with ``_slice``
+    it stays in the result: the rows leave this step partitioned by the two.
+    """
+    columns = rows.columns
     hour = F.floor(F.unix_seconds(time) / F.lit(3600))
-    rows = rows.withColumn("_group", F.struct(*group))
+    rows = rows.withColumn("_group", F.struct(*group)).drop(*group)
+    whole = [F.col("_group")[c].alias(c) if c in group else F.col(c) for c in columns]
+    added = ["has_next", *[f"next_{v}" for v in values]]
+
+    if split_rows is None:
+        alone = rows.withColumn("_slice", F.lit(0))
+        led = _lead_inside(alone, ["_group", "_slice"], [time, sequence], values).withColumn(
+            "has_next", F.col("has_next").isNotNull()
+        )
+        return led.select(*whole, *added, "_group", "_slice")
 
     hot = _hot(rows.groupBy("_group").count(), ["_group"], split_rows)
     hours = (
@@ -80,22 +97,20 @@ def next_in_group(rows, group, time, sequence, values, split_rows=SPLIT_ROWS):
     )
     hot_hours = _hot(hours, ["_group", "_hour"], split_rows)
 
+    is_hot, is_full = F.col("_is_hot").isNotNull(), F.col("_is_full").isNotNull()
+    cut = F.struct(
+        "_hour",
+        F.when(is_full, F.unix_seconds(time)).alias("second"),
+        F.when(is_full, F.floor(F.col(sequence) / F.lit(split_rows))).alias("run"),
+    )
     sliced = (
         rows.join(F.broadcast(hot.withColumn("_is_hot", F.lit(True))), "_group", "left")
-        .withColumn("_hour", F.when(F.col("_is_hot"), hour))
+        .withColumn("_hour", F.when(is_hot, hour))
         .join(
             F.broadcast(hot_hours.withColumn("_is_full", F.lit(True))), ["_group", "_hour"], "left"
         )
-        .withColumn(
-            "_slice",
-            F.struct(
-                "_hour",
-                F.when(F.col("_is_full"), F.unix_seconds(time)).alias("second"),
-                F.when(F.col("_is_full"), F.floor(F.col(sequence) / F.lit(split_rows))).alias("run"),
-            ),
-        )
+        .withColumn("_slice", F.when(is_hot, cut))
         .drop("_hour", "_is_full")
     )
-    return _lead_over_slices(
-        sliced, ["_group"], ["_slice"], [time, sequence], values, F.col("_is_hot").isNotNull()
-    ).drop("_is_hot")
+    led = _lead_over_slices(sliced, ["_group"], [time, sequence], values, is_hot)
+    return led.select(*whole, *added, "_group", "_slice")

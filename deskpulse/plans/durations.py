@@ -31,15 +31,16 @@ def with_next_state(history, scope="ticket", on_bad_start="fail", split_rows=SPL
         led = next_in_sequence(rows, "row_seq", values, split_rows)
     else:
         raise ValueError(f"scope must be 'ticket' or 'file', not {scope}")
-    opens = F.coalesce(F.col("_next.estado").isin(*CREATE_STATES), F.lit(False))
-    return led.withColumn("_next", F.when(~opens, F.col("_next"))).withColumns(
+    opens = F.coalesce(F.col("next_estado").isin(*CREATE_STATES), F.lit(False))
+    follows = F.col("has_next") & ~opens
+    return led.withColumns(
         {
-            "has_next": F.col("_next").isNotNull(),
-            "next_state": F.col("_next.estado"),
-            "next_time": F.col("_next.fecha"),
-            "end_ts": F.col("_next.start_ts"),
+            "has_next": follows,
+            "next_state": F.when(follows, F.col("next_estado")),
+            "next_time": F.when(follows, F.col("next_fecha")),
+            "end_ts": F.when(follows, F.col("next_start_ts")),
         }
-    ).drop("_next")
+    ).drop("next_estado", "next_fecha", "next_start_ts")
 
 
 def visits(

@@ -24,21 +24,21 @@ def ticket_totals(visited):
     pass with a condition replaces two groupings and a join. Rows of one ticket come
     out on one partition, ready for the choice of export.
 
-    The first grouping is by the keys the visits are already partitioned by and
-    needs no shuffle where the visits still carry them; only its sums move.
+    Visits straight from the window are already partitioned by its keys and are summed
+    by those first, without a shuffle; only the sums move.
     """
-    carried = [c for c in ("_group", "_slice") if c in visited.columns]
-    working = is_working("estado")
-    partial = (
-        visited.filter("id_ticket IS NOT NULL AND date IS NOT NULL")
-        .groupBy("id_ticket", "date", *carried)
-        .agg(
-            F.sum(F.when(working, F.col("seconds"))).alias("seconds"),
-            F.sum(F.when(working, F.col("off_days"))).alias("off_days"),
-            F.max("end_day").alias("end_day"),
-            F.count_if(working).alias("working_rows"),
-        )
-    )
+    named = visited.filter("id_ticket IS NOT NULL AND date IS NOT NULL")
+    sums = {
+        "seconds": F.sum(F.when(is_working("estado"), F.col("seconds"))),
+        "off_days": F.sum(F.when(is_working("estado"), F.col("off_days"))),
+        "end_day": F.max("end_day"),
+        "working_rows": F.count_if(is_working("estado")),
+    }
+    sums = [column.alias(name) for name, column in sums.items()]
+    if {"_group", "_slice"} <= set(visited.columns):
+        partial = named.groupBy("_group", "_slice").agg(*sums).select("_group.*", "*")
+    else:
+        partial = named.groupBy("id_ticket", "date").agg(*sums)
     return (
         partial.repartition("id_ticket")
         .groupBy("id_ticket", F.col("date").alias("date_particion"))
