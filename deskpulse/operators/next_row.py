@@ -22,13 +22,12 @@ def _lead_inside(rows, keys, order, values):
     return rows.withColumns({"has_next": F.lead(F.lit(True)).over(inside), **leads})
 
 
-def _lead_over_slices(rows, group, order, values, is_split):
+def _lead_over_slices(rows, split_rows, group, order, values):
+    """``split_rows`` are those of the rows whose group has more than one slice."""
     keys = [*group, "_slice"]
     at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    heads = (
-        rows.filter(is_split)
-        .groupBy(*keys)
-        .agg(F.min(at).alias("_at"), F.min_by(F.struct(*values), at).alias("_head"))
+    heads = split_rows.groupBy(*keys).agg(
+        F.min(at).alias("_at"), F.min_by(F.struct(*values), at).alias("_head")
     )
     across = Window.partitionBy(*group).orderBy("_at") if group else Window.orderBy("_at")
     following = heads.select(*keys, F.lead("_head").over(across).alias("_over"))
@@ -52,65 +51,68 @@ def next_in_sequence(rows, sequence, values, chunk_rows=SPLIT_ROWS):
     row per ``chunk_rows`` numbers meets in the window over heads.
     """
     chunked = rows.withColumn("_slice", F.floor(F.col(sequence) / F.lit(chunk_rows)))
-    led = _lead_over_slices(chunked, [], [sequence], values, F.col("_slice").isNotNull())
-    return led.drop("_slice")
+    return _lead_over_slices(chunked, chunked, [], [sequence], values).drop("_slice")
 
 
-def _hot(counts, keys, split_rows):
-    """Keys with more than split_rows rows.
+def _hot_limit(counts, split_rows):
+    """Rows above which a key is hot: split_rows, or a MOST_HOT_GROUPS-th of all rows.
 
-    A key also needs a MOST_HOT_GROUPS-th of all counted rows, so there can never be
-    more keys than that and the result is safe to broadcast.
+    There can never be more than MOST_HOT_GROUPS keys above it, so a list of hot keys
+    is safe to broadcast.
     """
     share = counts.select(F.sum("count") / F.lit(MOST_HOT_GROUPS)).scalar()
-    return counts.filter(F.col("count") > F.greatest(F.lit(float(split_rows)), share)).select(*keys)
+    return F.greatest(F.lit(float(split_rows)), share)
 
 
-def next_in_group(rows, group, time, sequence, values, split_rows=SPLIT_ROWS):
+def next_in_group(
+    rows, group, time, sequence, values, split_rows=SPLIT_ROWS, prepare=lambda rows: rows
+):
     """The next row, by (time, sequence), of the same group.
 
     Groups of normal size stay whole. A group above ``split_rows`` is cut by hour, and
     an hour of it that is still above by second and by runs of ``sequence``.
     ``split_rows=None`` saves the counting for logs known to have no such group.
+    ``prepare`` may append columns such as ``time``; groups are counted and hot rows
+    are picked without them.
 
     The group columns travel once, as the struct ``_group``. Together with ``_slice``
     it stays in the result: the rows leave this step partitioned by the two.
     """
-    columns = rows.columns
+    columns = prepare(rows).columns
     hour = F.floor(F.unix_seconds(time) / F.lit(3600))
     rows = rows.withColumn("_group", F.struct(*group)).drop(*group)
     whole = [F.col("_group")[c].alias(c) if c in group else F.col(c) for c in columns]
     added = ["has_next", *[f"next_{v}" for v in values]]
 
     if split_rows is None:
-        alone = rows.withColumn("_slice", F.lit(0))
+        alone = prepare(rows).withColumn("_slice", F.lit(0))
         led = _lead_inside(alone, ["_group", "_slice"], [time, sequence], values).withColumn(
             "has_next", F.col("has_next").isNotNull()
         )
         return led.select(*whole, *added, "_group", "_slice")
 
-    hot = _hot(rows.groupBy("_group").count(), ["_group"], split_rows)
-    hours = (
-        rows.join(F.broadcast(hot), "_group", "left_semi")
-        .groupBy("_group", hour.alias("_hour"))
-        .count()
-    )
-    hot_hours = _hot(hours, ["_group", "_hour"], split_rows)
-
-    is_hot, is_full = F.col("_is_hot").isNotNull(), F.col("_is_full").isNotNull()
-    cut = F.struct(
-        "_hour",
-        F.when(is_full, F.unix_seconds(time)).alias("second"),
-        F.when(is_full, F.floor(F.col(sequence) / F.lit(split_rows))).alias("run"),
-    )
-    sliced = (
-        rows.join(F.broadcast(hot.withColumn("_is_hot", F.lit(True))), "_group", "left")
-        .withColumn("_hour", F.when(is_hot, hour))
-        .join(
+    def sliced(some):
+        by_hour = some.withColumn("_hour", hour).join(
             F.broadcast(hot_hours.withColumn("_is_full", F.lit(True))), ["_group", "_hour"], "left"
         )
-        .withColumn("_slice", F.when(is_hot, cut))
-        .drop("_hour", "_is_full")
-    )
-    led = _lead_over_slices(sliced, ["_group"], [time, sequence], values, is_hot)
+        is_full = F.col("_is_full").isNotNull()
+        cut = F.struct(
+            "_hour",
+            F.when(is_full, F.unix_seconds(time)).alias("second"),
+            F.when(is_full, F.floor(F.col(sequence) / F.lit(split_rows))).alias("run"),
+        )
+        return by_hour.withColumn("_slice", cut).drop("_hour", "_is_full")
+
+    counts = rows.groupBy("_group").count()
+    limit = _hot_limit(counts, split_rows)
+    hot = counts.filter(F.col("count") > limit).select("_group")
+    hot_rows = prepare(rows.join(F.broadcast(hot), "_group", "left_semi"))
+    hours = hot_rows.groupBy("_group", hour.alias("_hour")).count()
+    hot_hours = hours.filter(F.col("count") > limit).select("_group", "_hour")
+
+    flagged = rows.join(F.broadcast(hot.withColumn("_is_hot", F.lit(True))), "_group", "left")
+    cut_rows = sliced(prepare(flagged)).withColumn(
+        "_slice", F.when(F.col("_is_hot"), F.col("_slice"))
+    ).drop("_is_hot")
+    led = _lead_over_slices(cut_rows, sliced(hot_rows), ["_group"], [time, sequence], values)
     return led.select(*whole, *added, "_group", "_slice")

@@ -19,16 +19,17 @@ def with_next_state(history, scope="ticket", on_bad_start="fail", split_rows=SPL
     ``row_seq``; ``scope="file"`` takes the next row of the whole table by
     ``row_seq``. Nothing follows the last row or a row before a newly opened ticket.
     """
-    rows = history.select(*HISTORY_COLUMNS).withColumn(
-        "start_ts", dates.start_time("fecha", on_bad_start)
-    )
+    def parsed(rows):
+        return rows.withColumn("start_ts", dates.start_time("fecha", on_bad_start))
+
+    rows = history.select(*HISTORY_COLUMNS)
     values = ["estado", "fecha", "start_ts"]
     if scope == "ticket":
         led = next_in_group(
-            rows, ["id_ticket", "date"], "start_ts", "row_seq", values, split_rows
+            rows, ["id_ticket", "date"], "start_ts", "row_seq", values, split_rows, parsed
         )
     elif scope == "file":
-        led = next_in_sequence(rows, "row_seq", values, split_rows)
+        led = next_in_sequence(parsed(rows), "row_seq", values, split_rows)
     else:
         raise ValueError(f"scope must be 'ticket' or 'file', not {scope}")
     opens = F.coalesce(F.col("next_estado").isin(*CREATE_STATES), F.lit(False))
