@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from workload.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -52,7 +53,7 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
