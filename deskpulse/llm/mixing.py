@@ -75,36 +75,31 @@ def _small(df):
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def duels(probabilities, rng):
-    """(whole, rest): 0, 1 or None per probability; where the undecided one is and its mass.
+def duels(chances, sizes, rng):
+    """(whole, undecided): 0, 1 or None per chance; (place, chance) of the None left, if any.
 
-    Probabilities meet in the given order.
+    Two undecided ones meet at a time, in the given order. Words move from one to the
+    other until a chance is 0 or 1; the direction is drawn so that neither chance changes
+    on average. The expected number of words stays as it is throughout.
     """
-    whole = [None] * len(probabilities)
-    held, mass = None, 0.0
-    for at, p in enumerate(probabilities):
+    whole = [None] * len(chances)
+    held = None
+    for at, chance in enumerate(chances):
         if held is None:
-            held, mass = at, p
-        else:
-            total = mass + p
-            if total < 1.0:
-                if rng.random() * total < mass:
-                    whole[at] = 0
-                else:
-                    whole[held] = 0
-                    held = at
-                mass = total
+            held = at, chance
+            continue
+        other, p = held
+        mine, theirs = sizes[at], sizes[other]
+        up = min((1.0 - p) * theirs, chance * mine)
+        down = min(p * theirs, (1.0 - chance) * mine)
+        moved = up if rng.random() * (up + down) < down else -down
+        held = None
+        for place, left in ((other, p + moved / theirs), (at, chance - moved / mine)):
+            if EPSILON < left < 1.0 - EPSILON:
+                held = place, left
             else:
-                if rng.random() * (2.0 - total) < 1.0 - p:
-                    whole[held] = 1
-                    held = at
-                else:
-                    whole[at] = 1
-                mass = total - 1.0
-        if mass <= EPSILON or mass >= 1.0 - EPSILON:
-            whole[held] = int(mass > 0.5)
-            held, mass = None, 0.0
-    return whole, (held, mass)
+                whole[place] = int(left > 0.5)
+    return whole, held
 
 
 def _round(rows, keys, seed, last):
@@ -112,13 +107,16 @@ def _round(rows, keys, seed, last):
     schema = rows.schema
 
     def run(table):
-        table = table.sort_by([("size", "ascending"), ("tie", "ascending")])
+        table = table.sort_by([("size", "descending"), ("tie", "ascending")])
         name = "|".join(str(table.column(k)[0].as_py()) for k in keys)
         rng = random.Random(f"{seed}|{name}")
-        whole, (held, mass) = duels(table.column("chance").to_pylist(), rng)
+        chance = table.column("chance").to_pylist()
+        whole, held = duels(chance, table.column("size").to_pylist(), rng)
+        chance = [None] * len(whole)
         if held is not None and last:
-            whole[held], held = int(rng.random() < mass), None
-        chance = [mass if at == held else None for at in range(len(whole))]
+            whole[held[0]] = int(rng.random() < held[1])
+        elif held is not None:
+            chance[held[0]] = held[1]
         for field, values in (("extra", whole), ("chance", chance)):
             at = table.schema.get_field_index(field)
             table = table.set_column(

@@ -14,6 +14,8 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 MIN_SUPPORT = 0.002
+# A rule rests on so many labelled urls at least, however few there are in all.
+MIN_URLS = 30
 MIN_CONFIDENCE = 0.8
 MIN_LIFT = 1.5
 BAD = "label=bad"
@@ -82,11 +84,17 @@ def _tokenised(urls):
     return found.select("url", F.explode(F.array(tokens_of(F.col("url")))).alias("tokens"))
 
 
-def mine_rules(labelled, min_support=MIN_SUPPORT, min_confidence=MIN_CONFIDENCE, min_lift=MIN_LIFT):
+def mine_rules(
+    labelled,
+    min_support=MIN_SUPPORT,
+    min_confidence=MIN_CONFIDENCE,
+    min_lift=MIN_LIFT,
+    min_urls=MIN_URLS,
+):
     """Rules (antecedent, key, confidence, lift, support) that point to bad urls.
 
     ``labelled`` has ``url`` and ``bad``. All labelled urls are mined. Rules below the
-    three thresholds are pruned. ``key`` is the rarest token of a rule. How many rules there can be depends on
+    thresholds are pruned. ``key`` is the rarest token of a rule. How many rules there can be depends on
     the thresholds and on the tokens of a url, not on the number of urls. Without
     labelled urls there are no rules.
     """
@@ -98,7 +106,8 @@ def mine_rules(labelled, min_support=MIN_SUPPORT, min_confidence=MIN_CONFIDENCE,
         .alias("items")
     )
     items = checkpointed(items)
-    model = FPGrowth(minSupport=min_support, minConfidence=min_confidence).fit(items)
+    support = min(1.0, max(min_support, min_urls / max(1, items.count())))
+    model = FPGrowth(minSupport=support, minConfidence=min_confidence).fit(items)
     rules = checkpointed(
         model.associationRules.where(
             (F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") >= min_lift)
