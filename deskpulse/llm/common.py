@@ -57,3 +57,13 @@ def fresh_name(columns, name):
 def column(name):
     """A top-level column by its exact name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def let(value, body):
+    """body(value) with the value computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def small(df, rows=100_000):
+    """Marked for broadcast if it has at most so many rows; joined by shuffle beyond."""
+    return F.broadcast(df) if df.count() <= rows else df
