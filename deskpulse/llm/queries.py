@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from deskpulse.llm import bpe_tree, chat, mixing, outliers, simhash, token_counts, url_rules
+from deskpulse.llm import bpe_tree, chat, mixing, multi_index, outliers, simhash, token_counts, url_rules
 from deskpulse.llm.common import read
 
 
@@ -27,6 +27,10 @@ def op5_mix_sources(spark, sf_dir):
     return mixing.copies(read(spark, sf_dir, "documents")).drop("copies")
 
 
+def op6_nearest_neighbours(spark, sf_dir):
+    return multi_index.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark, sf_dir):
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
         op2_quality_rules,
         op4_chat_formatting,
         op5_mix_sources,
+        op6_nearest_neighbours,
         op7_token_counts,
         op9_url_filters,
         op10_byte_level_bpe,
