@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from deskpulse.llm import bpe_tree, chat, mixing, multi_index, outliers, simhash, token_counts, url_rules
+from deskpulse.llm import bpe_tree, chat, mixing, multi_index, outliers, simhash, token_counts, url_rules, weak_labels
 from deskpulse.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op2_quality_rules(spark, sf_dir):
     return outliers.judge(read(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark, sf_dir):
+    return weak_labels.classify(read(spark, sf_dir, "documents"))
+
+
 def op4_chat_formatting(spark, sf_dir):
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = "</s>[INST] ok [/INST]"
@@ -54,6 +58,7 @@ QUERIES = {
     for query in (
         op1_simhash_near_dedup,
         op2_quality_rules,
+        op3_quality_classifier,
         op4_chat_formatting,
         op5_mix_sources,
         op6_nearest_neighbours,
