@@ -14,13 +14,12 @@ def read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df):
-    """The rows written to the shared checkpoint folder, and read from there.
+def checkpoint_folder(spark):
+    """The session's folder for intermediate results, which all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``; only a local session may go
-    without it and gets a folder of its own.
+    It is ``spark.checkpoint.dir``; only a local session may go without it and gets a
+    folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -29,6 +28,12 @@ def checkpointed(df):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
             folder = tempfile.mkdtemp(prefix="llm-checkpoints-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df):
+    """The rows written to the shared checkpoint folder, and read from there."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from deskpulse.llm import bpe_tree, chat, mixing, multi_index, outliers, simhash, token_counts, url_rules, weak_labels
+from deskpulse.llm import bpe_tree, chat, mixing, multi_index, outliers, secret_scan, simhash, token_counts, url_rules, weak_labels
 from deskpulse.llm.common import read
 
 
@@ -39,6 +39,10 @@ def op7_token_counts(spark, sf_dir):
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark, sf_dir):
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op9_url_filters(spark, sf_dir):
     pages = read(spark, sf_dir, "pages")
     labels = read(spark, sf_dir, "labels").select(
@@ -63,6 +67,7 @@ QUERIES = {
         op5_mix_sources,
         op6_nearest_neighbours,
         op7_token_counts,
+        op8_secret_scan,
         op9_url_filters,
         op10_byte_level_bpe,
     )
