@@ -162,12 +162,15 @@ def codec(name=TOKENIZER, path=None, pattern=None):
     return kept(f"bpe {path} {pattern}", lambda: Codec(path, pattern))
 
 
-def encode_texts(documents, text_col="text", name=TOKENIZER, path=None, pattern=None, leaf=LEAF, ids_col="ids"):
+def encode_texts(
+    documents, text_col="text", name=TOKENIZER, path=None, pattern=None, leaf=LEAF, ids_col="ids"
+):
     """The documents with their ids (array of int) in place of the texts.
 
-    A null text is encoded as an empty one: no ids. Other columns stay as they are.
+    A null text is encoded as an empty one: no ids. Other columns stay as they are, but
+    for one that has the name of ``ids_col`` already: the ids replace it.
     """
-    fields = [f for f in documents.schema.fields if f.name != text_col]
+    fields = [f for f in documents.schema.fields if f.name not in (text_col, ids_col)]
     schema = T.StructType(
         [*fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()), False)]
     )
@@ -194,9 +197,11 @@ def _lists(parts):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=pa.int32()))
 
 
-def decode_ids(encoded, ids_col="ids", name=TOKENIZER, path=None, pattern=None, leaf=LEAF, text_col="text"):
+def decode_ids(
+    encoded, ids_col="ids", name=TOKENIZER, path=None, pattern=None, leaf=LEAF, text_col="text"
+):
     """Encoded documents with their texts again. Null ids give an empty text."""
-    fields = [f for f in encoded.schema.fields if f.name != ids_col]
+    fields = [f for f in encoded.schema.fields if f.name not in (ids_col, text_col)]
     schema = T.StructType([*fields, T.StructField(text_col, T.StringType(), False)])
     source = encoded.select(*[column(f.name) for f in fields], column(ids_col))
 
@@ -215,7 +220,9 @@ def decode_ids(encoded, ids_col="ids", name=TOKENIZER, path=None, pattern=None,
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def round_trip(documents, id_col="doc_id", text_col="text", name=TOKENIZER, path=None, pattern=None, leaf=LEAF):
+def round_trip(
+    documents, id_col="doc_id", text_col="text", name=TOKENIZER, path=None, pattern=None, leaf=LEAF
+):
     """Per document: number and digest of its ids, digest of the bytes decoded from them.
 
     Ids are digested as little-endian unsigned 32-bit numbers. A null text counts as an

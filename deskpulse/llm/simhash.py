@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskpulse.llm.bit_trie import forest_of
-from deskpulse.llm.common import checkpointed, column
+from deskpulse.llm.common import checkpointed, column, fresh_name
 from deskpulse.llm.components import components
 
 BITS = 64
@@ -232,7 +232,9 @@ def near_duplicates(
     )
 
 
-def keep_one(documents, id_col="doc_id", text_col="text", shingle=SHINGLE, max_bits=MAX_BITS, group=GROUP):
+def keep_one(
+    documents, id_col="doc_id", text_col="text", shingle=SHINGLE, max_bits=MAX_BITS, group=GROUP
+):
     """The documents without near copies: of each component the one with the least id.
 
     All columns stay. Of several rows with that id, or of a component without ids, the
@@ -242,13 +244,10 @@ def keep_one(documents, id_col="doc_id", text_col="text", shingle=SHINGLE, max_b
     ids = coded.groupBy(column(id_col).alias("id")).agg(F.count("*").alias("rows"))
     plain = checkpointed(ids.where("id is not null and rows = 1").select("id"))
     chosen = grouped.select("root", "component_id").distinct()
-    single = documents.join(
-        chosen.join(plain, chosen["component_id"] == plain["id"], "left_semi").select(
-            F.col("component_id").alias("_kept")
-        ),
-        column(id_col) == F.col("_kept"),
-        "left_semi",
-    )
+    name = fresh_name(documents.columns, "kept")
+    single = chosen.join(plain, chosen["component_id"] == plain["id"], "left_semi")
+    single = single.select(F.col("component_id").alias(name))
+    single = documents.join(single, column(id_col) == F.col(name), "left_semi")
     odd = checkpointed(ids.where("id is null or rows > 1").select("id"))
     if odd.isEmpty():
         return single
@@ -258,8 +257,11 @@ def keep_one(documents, id_col="doc_id", text_col="text", shingle=SHINGLE, max_b
 def _of_odd(documents, odd, grouped, id_col, text_col, shingle):
     """One row of each component whose least id is missing or repeated."""
     whole = F.struct(*[column(c) for c in documents.columns])
-    rows = documents.select(whole.alias("row"), column(id_col).alias("id"), column(text_col).alias("text"))
-    rows = rows.join(odd.withColumnRenamed("id", "odd"), F.col("id").eqNullSafe(F.col("odd")), "left_semi")
+    rows = documents.select(
+        whole.alias("row"), column(id_col).alias("id"), column(text_col).alias("text")
+    )
+    odd = odd.withColumnRenamed("id", "odd")
+    rows = rows.join(odd, F.col("id").eqNullSafe(F.col("odd")), "left_semi")
     numbered = checkpointed(rows.withColumn("at", F.monotonically_increasing_id()))
     codes = fingerprints(numbered, "at", "text", shingle)
     placed = numbered.join(codes, "at").join(grouped, "code")

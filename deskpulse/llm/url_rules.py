@@ -19,6 +19,7 @@ MIN_URLS = 30
 MIN_CONFIDENCE = 0.8
 MIN_LIFT = 1.5
 BAD = "label=bad"
+RULE = "antecedent array<string>, confidence double, lift double, support double, key string"
 
 
 def host_of(url):
@@ -106,7 +107,10 @@ def mine_rules(
         .alias("items")
     )
     items = checkpointed(items)
-    support = min(1.0, max(min_support, min_urls / max(1, items.count())))
+    n = items.count()
+    if n == 0:
+        return labelled.sparkSession.createDataFrame([], RULE)
+    support = min(1.0, max(min_support, min_urls / n))
     model = FPGrowth(minSupport=support, minConfidence=min_confidence).fit(items)
     rules = checkpointed(
         model.associationRules.where(
