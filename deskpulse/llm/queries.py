@@ -72,4 +72,27 @@ QUERIES = {
         op10_byte_level_bpe,
     )
 }
-ORACLES = {}
+# The template's strings are those of chat.py; RE2 has the same escape pattern.
+OP4_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), placed AS (
+  SELECT *, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS opens
+  FROM turns
+), written AS (
+  SELECT *, length(regexp_replace(text, '(<\\*)((?:\|im_start\||\|im_end\||\|im_sep\||\|endoftext\||/?s|</?SYS>)>)|(\[\\*)(/?INST\])', '\1\3\\\2\4', 'g')) AS chars
+  FROM placed
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars + CASE WHEN opens THEN length('<|im_start|>') + length(role) + 1 + length('<|im_end|>') + 1
+                        ELSE length('<|im_sep|>') END) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id
+"""
+
+# The other methods fit models, walk indexes or call tokenizers, which SQL cannot; their
+# tests compare them with brute force.
+ORACLES = {"op4_chat_formatting": OP4_SQL}

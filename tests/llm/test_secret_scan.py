@@ -1,0 +1,60 @@
+"""Secret scans: held-out accuracy, the forest against Spark's own scores, edges."""
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import array_to_vector
+
+from deskpulse.llm import secret_scan
+
+
+@pytest.fixture(scope="module")
+def scanner(spark, sf_dir):
+    return secret_scan.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def test_held_out_findings(spark, sf_dir, scanner):
+    texts, language = secret_scan.fit_language(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    rows = secret_scan.labelled_findings(texts, language, seed="held out")
+    x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    called = scanner.forest.score(x) >= secret_scan.THRESHOLD
+    assert (called[y == 1]).mean() > 0.95
+    assert (called[y == 0]).mean() < 0.03
+
+
+def test_forest_votes_as_sparks_trees_do(spark):
+    rng = np.random.default_rng(0)
+    x = rng.random((300, 4))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 2] > 0.3)).astype(float)
+    rows = [([float(v) for v in r], float(label)) for r, label in zip(x, y)]
+    frame = spark.createDataFrame(rows, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label")
+    model = secret_scan.RandomForestClassifier(numTrees=7, maxDepth=4, seed=1).fit(frame)
+    vectors = [r["features"] for r in frame.collect()]
+    want = [sum(t.predict(v) for t in model.trees) / 7 for v in vectors]
+    assert secret_scan.Forest(model).score(np.array([v.toArray() for v in vectors])) == pytest.approx(want)
+
+
+SECRET = 'token = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"'
+CLEAN = "sha256: 9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08"
+
+
+def test_edges(spark, scanner):
+    filler = "some words that are not secret at all "
+    rows = [
+        (1, SECRET), (2, CLEAN), (3, None), (4, ""), (5, filler * 5_000 + SECRET), (6, f"é{SECRET} {SECRET}"),
+        (None, SECRET), (1, SECRET), (7, "see /usr/local/lib/python/site-packages/module.py"), (8, "password = your_password_here"),
+    ]
+    df = spark.createDataFrame([(*r, 3, "x") for r in rows], "doc_id long, text string, n_chars int, secrets string")
+    got = secret_scan.scan(df, scanner=scanner).collect()
+    assert len(got) == len(rows)
+    n = {}
+    for r in got:
+        n.setdefault(r["doc_id"], []).append(r["n_secrets"])
+    assert n == {1: [1, 1], 2: [0], 3: [0], 4: [0], 5: [1], 6: [2], None: [1], 7: [0], 8: [0]}
+    span = next(r for r in got if r["doc_id"] == 5)["secrets"][0]
+    assert rows[4][1][span["start"] : span["end"]] == SECRET[9:-1]
+    masked = {r["doc_id"]: r for r in secret_scan.without_secrets(df, scanner=scanner).collect()}
+    assert masked[6]["text"] == 'étoken = "[SECRET]" token = "[SECRET]"'
+    assert masked[6]["n_chars"] == len(masked[6]["text"]) and masked[2]["n_chars"] == 3
+    assert masked[2]["text"] == CLEAN and masked[3]["text"] is None and masked[1]["secrets"] == "x"
+    assert secret_scan.scan(df.where("false")).collect() == []
+    assert secret_scan.without_secrets(df.where("false")).collect() == []
