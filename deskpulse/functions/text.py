@@ -44,41 +44,60 @@ def hundredths_text(seconds, minus_days=None):
 
 
 def whole_number_text(column):
-    """A double without decimals below ten million as text: 4.0."""
-    return _as_column(column).cast("double").cast("string")
+    """A double without decimals as text: 4.0, 10000000.0; with an exponent from 1e16 on."""
+    value = _as_column(column).cast("double")
+    return F.when(
+        F.abs(value) < 1e16, F.concat(value.cast("bigint").cast("string"), F.lit(".0"))
+    ).otherwise(value.cast("string"))
 
 
-def _spelled(value, plain, digits, power):
+# Where each style lays a number out without an exponent: powers of ten of its first digit.
+STYLES = {"python": (-4, 15), "spark": (-3, 6), "plain": (-400, 400)}
+
+
+def _spelled(value, plain, digits, power, style):
     """Text of a double from its significant digits and the power of ten of the first."""
+    least, most = STYLES[style]
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
     large = F.concat(
         F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0")),
         F.lit("."),
         F.when(F.length(digits) > power + 1, F.substring(digits, power + 2, F.lit(20))).otherwise("0"),
     )
-    scientific = F.concat(
-        F.substring(digits, 1, 1),
-        F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, 20))).otherwise(""),
-        F.when(power < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(power).cast("string"), 2, "0"),
-    )
+    rest = F.substring(digits, 2, 20)
+    if style == "spark":
+        exponent = F.concat(F.lit("E"), power.cast("string"))
+        rest = F.concat(F.lit("."), F.when(F.length(digits) > 1, rest).otherwise("0"))
+        scientific = F.concat(F.substring(digits, 1, 1), rest, exponent)
+    else:
+        scientific = F.concat(
+            F.substring(digits, 1, 1),
+            F.when(F.length(digits) > 1, F.concat(F.lit("."), rest)).otherwise(""),
+            F.when(power < 0, "e-").otherwise("e+"),
+            F.lpad(F.abs(power).cast("string"), 2, "0"),
+        )
     laid_out = (
-        F.when((power >= -4) & (power < 0), small)
-        .when((power >= 0) & (power < 16), large)
+        F.when((power >= least) & (power < 0), small)
+        .when((power >= 0) & (power <= most), large)
         .otherwise(scientific)
     )
+    if style == "python":
+        nan, infinite = F.lit("nan"), F.when(value > 0, "inf").otherwise("-inf")
+    else:
+        nan = infinite = plain
     return (
-        F.when(F.isnan(value), "nan")
-        .when(F.abs(value) == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
+        F.when(F.isnan(value), nan)
+        .when(F.abs(value) == float("inf"), infinite)
         .when(value == 0, plain)
         .otherwise(F.concat(F.when(value < 0, "-").otherwise(""), laid_out))
     )
 
 
-def with_float_texts(df, *names):
+def with_float_texts(df, *names, style="python"):
     """Turn double columns into the shortest texts that read back to them.
 
-    4.0, 1e-05 or 12345678.0, as Python writes them. Beyond 2**53 the last digit may
+    4.0, 1e-05 or 12345678.0, as Python writes them; style ``spark`` lays them out as a
+    cast does (1.0E-5, 1.2345678E7), ``plain`` never uses an exponent. Beyond 2**53 the last digit may
     be another one that reads back the same. Each step is a projection of its own, so
     every part is computed once per row and stays in generated code.
 
@@ -129,7 +148,8 @@ def with_float_texts(df, *names):
         - 1,
     )
     texts = {
-        n: _spelled(F.col(n), part("plain", n), part("digits", n), part("first", n)) for n in names
+        n: _spelled(F.col(n), part("plain", n), part("digits", n), part("first", n), style)
+        for n in names
     }
     kept = [c for c in df.columns if not any(c.startswith(f"_{n}_") for n in names)]
     return df.select(*[texts[c].alias(c) if c in texts else F.col(c) for c in kept])
@@ -141,18 +161,14 @@ def nan_text_as_zero(column):
     return F.when(text == "nan", "0.0").otherwise(text)
 
 
-def comma_text(column, plain=False):
-    """A number as text with a decimal comma.
+def with_comma_texts(df, *names, plain=False):
+    """Turn double columns into texts with a decimal comma.
 
-    ``plain`` spells large and small numbers out instead of with an exponent.
+    ``plain`` spells large and small numbers out instead of with an exponent; no digit
+    is lost either way.
     """
-    value = _as_column(column)
-    if plain:
-        spelled = value.cast("decimal(38,10)").cast("string")
-        spelled = F.regexp_replace(spelled, r"(\.\d+?)0+$", "$1")
-    else:
-        spelled = value.cast("string")
-    return F.translate(spelled, ".", ",")
+    spelled = with_float_texts(df, *names, style="plain" if plain else "spark")
+    return spelled.withColumns({n: F.translate(F.col(n), ".", ",") for n in names})
 
 
 def lowered(column):

@@ -3,16 +3,25 @@
 from pyspark.sql import functions as F
 
 from deskpulse.functions.text import request_key
-from deskpulse.functions.values import number_or_null, number_or_zero
+from deskpulse.functions.values import EXACT, exact_number, exact_or_zero
 from deskpulse.plans.categories import flows_by_branch, repaired_categories
 from deskpulse.schemas import ALL_REQUESTS, INDICATOR_COLUMNS, INDICATOR_TYPES
 
 SUMS = ("volumen_total_casos", "total_tiempo", "sum_casos_ok")
 
 
+def _as_doubles(df):
+    return df.withColumns({name: F.col(name).cast("double") for name in SUMS})
+
+
 def request_sums(tickets, zero_fill=False):
     """Sums per project, flow, request type and month; unreadable numbers are skipped."""
-    number = number_or_zero if zero_fill else number_or_null
+    return _as_doubles(_exact_request_sums(tickets, zero_fill))
+
+
+def _exact_request_sums(tickets, zero_fill):
+    """Sums as decimals: they become doubles once, at the end."""
+    number = exact_or_zero if zero_fill else exact_number
     return tickets.groupBy("proyecto", "flujo", "tipo_solicitud", "date").agg(
         F.sum(number("volumen_total_casos")).alias("volumen_total_casos"),
         F.sum(number("diferencia_tiempo_festivos")).alias("total_tiempo"),
@@ -26,7 +35,17 @@ def rollups(tickets, zero_fill=False):
     The tickets are read and grouped once. The grouping sets run over those sums,
     so only they are doubled, never the tickets.
     """
-    sums = request_sums(tickets, zero_fill)
+    rolled = _as_doubles(_exact_rollups(tickets, zero_fill))
+    ratios = {
+        "ratio_ok": F.try_divide("sum_casos_ok", "volumen_total_casos"),
+        "ratio_tiempop": F.try_divide("total_tiempo", "volumen_total_casos"),
+    }
+    columns = [c for c in rolled.columns if c != "all_requests"]
+    return rolled.withColumns(ratios).select(*columns, *ratios, "all_requests")
+
+
+def _exact_rollups(tickets, zero_fill):
+    sums = _exact_request_sums(tickets, zero_fill)
     grouped = sums.groupingSets(
         [["proyecto", "flujo", "date"], ["proyecto", "flujo", "tipo_solicitud", "date"]],
         "proyecto",
@@ -46,8 +65,6 @@ def rollups(tickets, zero_fill=False):
         .otherwise(F.col("tipo_solicitud"))
         .alias("tipo_solicitud"),
         *SUMS,
-        F.try_divide("sum_casos_ok", "volumen_total_casos").alias("ratio_ok"),
-        F.try_divide("total_tiempo", "volumen_total_casos").alias("ratio_tiempop"),
         "all_requests",
     )
 
@@ -58,12 +75,17 @@ def for_listed_flows(rolled, categories):
 
 
 def categorised(tickets, categories, zero_fill=False):
+    """Rollups with the categories they feed, sums as doubles; see ``_categorised``."""
+    return _as_doubles(_categorised(tickets, categories, zero_fill))
+
+
+def _categorised(tickets, categories, zero_fill=False):
     """Rollups joined to their categories by type and project_flow_request key.
 
     The key alone decides, not the branch: a ticket whose own request type is 'Todas'
     also feeds the category over all requests. Repeated categories repeat rows.
     """
-    keyed = for_listed_flows(rollups(tickets, zero_fill), categories).select(
+    keyed = for_listed_flows(_exact_rollups(tickets, zero_fill), categories).select(
         "tipo_indicador",
         request_key("proyecto", "flujo", "tipo_solicitud").alias("id_pro_flu_sol"),
         "fecha",
@@ -77,7 +99,7 @@ def categorised(tickets, categories, zero_fill=False):
 
 def measured(fed):
     """One value per indicator and month, in the 13-column shape."""
-    volume, time, ok = (F.sum(name) for name in SUMS)
+    volume, time, ok = (F.sum(name).cast("double") for name in SUMS)
     kind = F.col("tipo_indicador")
     value = (
         F.when(kind == "Q", volume)
@@ -109,7 +131,7 @@ def indicators(tickets, raw_categories, types=INDICATOR_TYPES, zero_fill=False):
     categories = repaired_categories(raw_categories).filter(
         F.col("tipo_indicador").isin(*types)
     )
-    return measured(categorised(tickets, categories, zero_fill))
+    return measured(_categorised(tickets, categories, zero_fill))
 
 
 def indicator_totals(tickets, raw_categories, kind):
@@ -119,34 +141,50 @@ def indicator_totals(tickets, raw_categories, kind):
     categories = repaired_categories(raw_categories).filter(F.col("tipo_indicador") == kind)
     name, summed = ("tiempo", "total_tiempo") if kind == "ANS" else ("sum_casos_ok",) * 2
     return (
-        categorised(tickets, categories)
+        _categorised(tickets, categories)
         .groupBy(F.col("id_indicador").alias("id"))
-        .agg(F.sum("volumen_total_casos").alias("nombre"), F.sum(summed).alias(name))
+        .agg(
+            F.sum("volumen_total_casos").cast("double").alias("nombre"),
+            F.sum(summed).cast("double").alias(name),
+        )
         .select(F.lit(0).alias("tipo_reg"), "id", "nombre", name)
     )
 
 
-ROLLUP_BY_SQL = """
+def _exact_sum_sql(name):
+    """``exact_number`` and its sum in SQL."""
+    value, text = f"try_cast({name} AS double)", f"try_cast(CAST({name} AS string) AS {EXACT})"
+    return f"""
+       CAST(sum(CASE WHEN {value} IS NULL OR isnan({value}) THEN NULL
+                     WHEN CAST({text} AS double) = {value} THEN {text}
+                     ELSE CAST(raise_error('number does not fit exact sums: ' || {name}) AS {EXACT})
+                END) AS double)"""
+
+
+ROLLUP_BY_SQL = f"""
 SELECT :branch AS Id, date AS fecha, proyecto, flujo,
        CASE WHEN :branch = 1 THEN :all_requests ELSE tipo_solicitud END AS tipo_solicitud,
-       sum(try_cast(volumen_total_casos AS double)) AS volumen_total_casos,
-       sum(try_cast(diferencia_tiempo_festivos AS double)) AS total_tiempo,
-       sum(try_cast(sum_casos_ok AS double)) AS sum_casos_ok
-FROM IDENTIFIER(:view)
+       {_exact_sum_sql("volumen_total_casos")} AS volumen_total_casos,
+       {_exact_sum_sql("diferencia_tiempo_festivos")} AS total_tiempo,
+       {_exact_sum_sql("sum_casos_ok")} AS sum_casos_ok
+FROM {{tickets}}
 WHERE array_contains(CAST(:flows AS array<string>), flujo)
 GROUP BY date, proyecto, flujo,
          CASE WHEN :branch = 1 THEN :all_requests ELSE tipo_solicitud END
 """
 
 
-def rollup_by_sql(spark, view, branch, flows):
-    """One rollup as SQL over a registered view, all values passed as parameters."""
-    return spark.sql(
+def rollup_by_sql(tickets, branch, flows):
+    """One rollup as SQL, all values and the table passed as parameters.
+
+    The frame stands for ``{tickets}`` under a view name of its own.
+    """
+    return tickets.sparkSession.sql(
         ROLLUP_BY_SQL,
         args={
             "branch": branch,
-            "view": view,
             "all_requests": ALL_REQUESTS,
             "flows": F.array(*[F.lit(f) for f in flows]),
         },
+        tickets=tickets,
     )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from deskpulse.functions.text import comma_text
+from deskpulse.functions.text import with_comma_texts
 from deskpulse.operators.columns import conform, in_order
 from deskpulse.operators.combine import union_distinct
 from deskpulse.operators.dedupe import distinct_rows, first_per_key, preferred_per_key
@@ -12,7 +12,7 @@ from deskpulse.schemas import INDICATOR_COLUMNS, PUBLISHED, STANDARD_KEY
 def published_indicators(indicators, plain_numbers=False):
     """Computed indicators under the standard names, with a decimal comma."""
     ordered = in_order(indicators, INDICATOR_COLUMNS)
-    return conform(ordered.withColumn("valor", comma_text("valor", plain_numbers)), PUBLISHED)
+    return conform(with_comma_texts(ordered, "valor", plain=plain_numbers), PUBLISHED)
 
 
 def primary_output(standard, indicators, plain_numbers=False):

@@ -1,5 +1,6 @@
 """Column functions against plain Python and numpy."""
 
+import decimal
 import datetime as dt
 import random
 
@@ -170,13 +171,40 @@ def test_small_rules(spark):
         (7.0, 0.0, 0.0, "KO", 7.0),
     ]
     assert _column(spark, ["nan", "1.0"], "string", text.nan_text_as_zero) == ["0.0", "1.0"]
-    assert _column(spark, [2.6, 12345678.0], "double", text.comma_text) == ["2,6", "1,2345678E7"]
-    assert _column(spark, [2.6, 12345678.0], "double", lambda c: text.comma_text(c, True)) == [
-        "2,6", "12345678,0",
-    ]
     assert _column(spark, ["Órdenes", None], "string", lambda c: text.request_key(c, F.lit("A"), F.lit("B"))) == [
         "órdenes_a_b", None,
     ]
     assert _column(spark, [None, "Validación", "Cerrado", "en gestión"], "string", values.is_working) == [
         True, True, False, False,
     ]
+
+
+def test_comma_texts_keep_every_digit(spark):
+    numbers = [
+        0.0, 2.6, 12345678.0, -1e-11, 0.12345678901234, 1e28, 1.5e30, 0.001, 9999999.0, 1e7, 2.0 / 3.0, 2.2250738585072014e-308,
+        1.7976931348623157e308, 6.25, -0.1, 123456789012345680.0,
+    ]
+    df = spark.createDataFrame([(x, x) for x in numbers], "spark double, plain double")
+    df = text.with_comma_texts(text.with_comma_texts(df, "spark"), "plain", plain=True)
+    for x, r in zip(numbers, df.collect()):
+        for spelled in r:
+            assert float(spelled.replace(",", ".")) == x
+        assert "E" not in r.plain and "," in r.plain
+        assert r.plain == format(decimal.Decimal(repr(x)), "f").replace(".", ",") + ("" if "." in format(decimal.Decimal(repr(x)), "f") else ",0")
+        small = 0.001 <= abs(x) < 1e7 or x == 0
+        assert ("E" in r.spark) == (not small)
+    assert [r.spark for r in df.collect()][1:4] == ["2,6", "1,2345678E7", "-1,0E-11"]
+
+
+def test_whole_numbers_of_any_size(spark):
+    numbers = [0.0, 5.0, 9999999.0, 10000000.0, 123456789012.0, 1e15, None]
+    want = [None if x is None else repr(x) for x in numbers]
+    assert _column(spark, numbers, "double", text.whole_number_text) == want
+
+
+def test_exact_numbers(spark):
+    read = _column(spark, ["1.5", "1e-05", "x", None, "nan", "-3"], "string", values.exact_number)
+    assert [None if x is None else float(x) for x in read] == [1.5, 1e-05, None, None, None, -3.0]
+    for bad in ("1e16", "1e-30", "inf"):
+        with pytest.raises(Exception, match="number does not fit exact sums"):
+            _column(spark, [bad], "string", values.exact_number)

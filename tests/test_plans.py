@@ -1,5 +1,6 @@
 """Jobs on edge cases and against brute force; shapes of the physical plans."""
 
+import decimal
 import itertools
 import random
 
@@ -126,9 +127,8 @@ def test_flow_lists_of_any_size(spark, size):
     raw = fx.categories(spark, listed) if listed else fx.categories(spark, CATEGORY_ROWS).limit(0)
     got = indicators.indicators(spark.createDataFrame(rows, TICKETS), raw)
     assert {(r.id, r.fecha): r.valor for r in got.collect()} == _brute_force(rows, listed)
-    view = spark.createDataFrame(rows, TICKETS)
-    view.createOrReplaceTempView("vista")
-    by_sql = indicators.rollup_by_sql(spark, "vista", 1, [c[2] for c in listed])
+    tickets = spark.createDataFrame(rows, TICKETS)
+    by_sql = indicators.rollup_by_sql(tickets, 1, [c[2] for c in listed])
     flows = {r.flujo for r in by_sql.collect()}
     assert flows == {c[2] for c in listed}
 
@@ -291,3 +291,20 @@ def test_history_scan_reads_only_its_columns(spark, tmp_path):
     fx.history(spark).withColumn("sobrante", F.lit("x")).write.parquet(path)
     df = sla.ticket_verdict(spark.read.parquet(path), fx.holidays(spark))
     assert "sobrante" not in _plan(df)
+
+
+def test_sums_do_not_depend_on_the_partitioning(spark):
+    rng = random.Random(8)
+    rows = [
+        (str(i), "P", f"F{i % 2 + 1}", "A", float(rng.randint(1, 9)), repr(rng.uniform(0.1, 10.0) * 10 ** rng.randint(-4, 4)), "1.0", "m")
+        for i in range(3000)
+    ]
+    seen = set()
+    for parts in range(1, 12):
+        df = spark.createDataFrame(rows, TICKETS).repartition(parts, "id_ticket")
+        found = indicators.rollups(df).collect() + indicators.rollup_by_sql(df, 1, ["F1"]).collect()
+        seen.add(tuple(sorted(map(repr, found))))
+    assert len(seen) == 1
+    exact = sum(decimal.Decimal(r[5]) for r in rows if r[2] == "F1")
+    sums = {r.total_tiempo for r in indicators.rollup_by_sql(df, 1, ["F1"]).collect()}
+    assert sums == {float(exact)}

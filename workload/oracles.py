@@ -84,10 +84,10 @@ STEPS = {
     "order_verdict": """
         SELECT CAST(o_orderkey AS VARCHAR) AS id_ticket,
                CASE WHEN o_orderkey % 97 = 0 THEN '0' ELSE strftime(o_orderdate, '%Y%m%d') END AS date,
-               (floor(o_totalprice / 675) * 675) AS "Diferencia_tiempo", '0.0' AS dias_festivos,
-               (floor(o_totalprice / 675) * 675) / 86400.0 AS diferencia_tiempo_festivos,
-               (floor(o_totalprice / 675) * 675) / 86400.0 AS "Diferencia_tiempo_dias",
-               CASE WHEN (floor(o_totalprice / 675) * 675) / 86400.0 >= 5.0 THEN 'KO' ELSE 'OK' END AS ok_ko
+               o_totalprice AS "Diferencia_tiempo", '0.0' AS dias_festivos,
+               o_totalprice / 86400.0 AS diferencia_tiempo_festivos,
+               o_totalprice / 86400.0 AS "Diferencia_tiempo_dias",
+               CASE WHEN o_totalprice / 86400.0 >= 5.0 THEN 'KO' ELSE 'OK' END AS ok_ko
         FROM orders""",
     "order_tickets": """
         SELECT id_ticket, proyecto, flujo, tipo_solicitud, pais, importe, volumen_total_casos, total_casos_ok,
@@ -212,8 +212,24 @@ def _categories(seen):
 STEPS["order_categories"] = _categories("order_desc")
 STEPS["customer_categories"] = _categories("customer_desc")
 
+
+
+def _exact(number):
+    return f"sum(CAST(CAST({number} AS VARCHAR) AS DECIMAL(38, 22)))"
+
+
+def _double(exact):
+    """Through the text: a decimal itself is divided as a double, which rounds twice."""
+    return f"CAST(CAST({exact} AS VARCHAR) AS DOUBLE)"
+
+
+# Exact sums, turned into doubles once at the end.
 SUMS = (
-    "sum(volumen_total_casos) AS volumen_total_casos, sum(net) AS total_tiempo, sum(ok_cases) AS sum_casos_ok"
+    f"{_exact('volumen_total_casos')} AS volumen_total_casos, {_exact('net')} AS total_tiempo, "
+    f"{_exact('ok_cases')} AS sum_casos_ok"
+)
+DOUBLE_SUMS = ", ".join(
+    f"{_double(name)} AS {name}" for name in ("volumen_total_casos", "total_tiempo", "sum_casos_ok")
 )
 
 
@@ -253,10 +269,11 @@ STEPS["event_tickets"] = """
           USING (id_ticket)"""
 STEPS["event_fed"] = _fed("event_tickets", "customer_categories")
 
+_VOLUME = _double("sum(volumen_total_casos)")
 VALUES = {
-    "Q": "sum(volumen_total_casos)",
-    "ANS": "sum(total_tiempo) / nullif(sum(volumen_total_casos), 0)",
-    "KPI": "sum(sum_casos_ok) / nullif(sum(volumen_total_casos), 0)",
+    "Q": _VOLUME,
+    "ANS": f"{_double('sum(total_tiempo)')} / nullif({_VOLUME}, 0)",
+    "KPI": f"{_double('sum(sum_casos_ok)')} / nullif({_VOLUME}, 0)",
 }
 
 
@@ -286,7 +303,7 @@ def _primary(computed):
 
 
 STEPS["order_primary"] = _primary("order_indicators")
-STEPS["event_primary"] = _primary("(SELECT * REPLACE (round(valor, 10) AS valor) FROM event_indicators)")
+STEPS["event_primary"] = _primary("event_indicators")
 
 
 def _override(primary):
@@ -347,10 +364,9 @@ def _listed(names):
 
 def _rollup_with_ratios(branch):
     return f"""
-        SELECT "Id", fecha, proyecto, flujo, tipo_solicitud, volumen_total_casos,
-               total_tiempo, sum_casos_ok, sum_casos_ok / nullif(volumen_total_casos, 0) AS ratio_ok,
+        SELECT *, sum_casos_ok / nullif(volumen_total_casos, 0) AS ratio_ok,
                total_tiempo / nullif(volumen_total_casos, 0) AS ratio_tiempop
-        FROM ({_rollup("order_net", branch)})"""
+        FROM (SELECT * REPLACE ({DOUBLE_SUMS}) FROM ({_rollup("order_net", branch)}))"""
 
 
 ORACLES = {
@@ -441,7 +457,7 @@ ORACLES = {
     "rollup_all_requests": _with(_rollup_with_ratios(1), *LISTED, "order_net"),
     "rollup_by_request": _with(_rollup_with_ratios(2), *LISTED, "order_net"),
     "rollup_parameterised": _with(
-        f"""SELECT * FROM (
+        f"""SELECT * REPLACE ({DOUBLE_SUMS}) FROM (
                 {_rollup("order_net", 1, "flujo IN ('1-URGENT')")}
                 UNION ALL
                 {_rollup("order_net", 2, "flujo IN ('2-HIGH', '5-LOW')")})""",
@@ -456,21 +472,21 @@ ORACLES = {
         "order_desc",
     ),
     "composite_key_join": _with(
-        "SELECT * FROM order_fed", *FED
+        f"SELECT * REPLACE ({DOUBLE_SUMS}) FROM order_fed", *FED
     ),
     "indicator_q": _with(_indicators("order_fed", ("Q",)), *FED),
     "indicator_ans": _with(_indicators("order_fed", ("ANS",)), *FED),
     "indicator_kpi": _with(_indicators("order_fed", ("KPI",)), *FED),
     "indicators_all": _with("SELECT * FROM order_indicators", *FED, "order_indicators"),
     "indicator_totals_ans": _with(
-        """SELECT 0 AS tipo_reg, id_indicador AS id, sum(volumen_total_casos) AS nombre,
-                  sum(total_tiempo) AS tiempo
+        f"""SELECT 0 AS tipo_reg, id_indicador AS id, {_VOLUME} AS nombre,
+                  {_double("sum(total_tiempo)")} AS tiempo
            FROM order_fed WHERE tipo_indicador = 'ANS' GROUP BY id_indicador""",
         *FED,
     ),
     "indicator_totals_kpi": _with(
-        """SELECT 0 AS tipo_reg, id_indicador AS id, sum(volumen_total_casos) AS nombre,
-                  sum(sum_casos_ok) AS sum_casos_ok
+        f"""SELECT 0 AS tipo_reg, id_indicador AS id, {_VOLUME} AS nombre,
+                  {_double("sum(sum_casos_ok)")} AS sum_casos_ok
            FROM order_fed WHERE tipo_indicador = 'KPI' GROUP BY id_indicador""",
         *FED,
     ),
@@ -480,6 +496,14 @@ ORACLES = {
     ),
     "decimal_comma": """
         SELECT p_partkey, replace(CAST(p_retailprice AS VARCHAR), '.', ',') AS valor FROM part""",
+    "decimal_comma_plain": """
+        SELECT p_partkey,
+               CASE WHEN e >= 0 THEN d || repeat('0', CAST(e AS BIGINT)) || ',0'
+                    WHEN -e < length(d) THEN left(d, length(d) + e) || ',' || right(d, -e)
+                    ELSE '0,' || repeat('0', CAST(-e - length(d) AS BIGINT)) || d END AS valor
+        FROM (SELECT p_partkey, rtrim(digits, '0') AS d,
+                     CAST(p_partkey % 33 - 11 + length(digits) - length(rtrim(digits, '0')) AS INTEGER) AS e
+              FROM (SELECT p_partkey, CAST(p_partkey * 7919 % 999999937 + 1 AS VARCHAR) AS digits FROM part))""",
     "primary_output": _with(
         "SELECT * FROM order_primary", *FED, "order_indicators", "landed", "order_primary"
     ),

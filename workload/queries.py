@@ -230,10 +230,10 @@ def rollup_by_request(spark, sf):
 
 
 def rollup_parameterised(spark, sf):
-    _tickets(spark, sf).createOrReplaceTempView("indicadores")
+    listed = _tickets(spark, sf)
     frames = [
-        indicators.rollup_by_sql(spark, "indicadores", 1, ["1-URGENT"]),
-        indicators.rollup_by_sql(spark, "indicadores", 2, ["2-HIGH", "5-LOW"]),
+        indicators.rollup_by_sql(listed, 1, ["1-URGENT"]),
+        indicators.rollup_by_sql(listed, 2, ["2-HIGH", "5-LOW"]),
     ]
     return frames[0].unionByName(frames[1])
 
@@ -298,8 +298,17 @@ def distinct_landed(spark, sf):
 
 
 def decimal_comma(spark, sf):
-    return t.table(spark, sf, "part").select(
-        "p_partkey", text.comma_text("p_retailprice").alias("valor")
+    prices = t.table(spark, sf, "part").select("p_partkey", F.col("p_retailprice").alias("valor"))
+    return text.with_comma_texts(prices, "valor")
+
+
+def decimal_comma_plain(spark, sf):
+    """One to nine digits per part, moved to between 1e-11 and 1e30."""
+    key = F.col("p_partkey")
+    digits = (key * 7919 % 999_999_937 + 1).cast("string")
+    number = F.concat(digits, F.lit("E"), (key % 33 - 11).cast("string")).cast("double")
+    return text.with_comma_texts(
+        t.table(spark, sf, "part").select("p_partkey", number.alias("valor")), "valor", plain=True
     )
 
 
@@ -335,9 +344,7 @@ def service_report(spark, sf):
     listed = tickets.ticket_list(description, verdicts)
     computed = indicators.indicators(listed, t.categories_of(description))
     standard, _ = landing.standardise(t.landing_tables(spark, sf))
-    primary = publish.primary_output(
-        standard, computed.withColumn("valor", F.round("valor", 10))
-    )
+    primary = publish.primary_output(standard, computed)
     return publish.publish(primary, t.claims(spark, sf))
 
 
@@ -443,6 +450,7 @@ QUERIES = {
         landing_union,
         distinct_landed,
         decimal_comma,
+        decimal_comma_plain,
         primary_output,
         override_output,
         passthrough_output,

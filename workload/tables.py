@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from deskpulse.functions.text import with_float_texts
 from deskpulse.operators.combine import union_all
 from deskpulse.schemas import ALL_REQUESTS, INDICATOR_TYPES, KEY_REPAIRS, NAME_REPAIRS, STANDARD
 
@@ -99,23 +100,21 @@ def order_categories(spark, sf_dir):
 
 
 def order_verdicts(spark, sf_dir):
-    """A published verdict per order: its price in seconds, closed on the order date.
-
-    The seconds are cut to a 128th of a day, so that sums of days are exact.
-    """
-    seconds = (F.floor(F.col("o_totalprice") / 675) * 675).cast("double")
+    """A published verdict per order: its price in seconds, closed on the order date."""
+    seconds = F.col("o_totalprice").cast("double")
     days = seconds / F.lit(86400.0)
-    return table(spark, sf_dir, "orders").select(
+    verdicts = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("id_ticket"),
         F.when(F.col("o_orderkey") % 97 == 0, "0")
         .otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
         .alias("date"),
         seconds.alias("Diferencia_tiempo"),
         F.lit("0.0").alias("dias_festivos"),
-        days.cast("string").alias("diferencia_tiempo_festivos"),
-        days.cast("string").alias("Diferencia_tiempo_dias"),
+        days.alias("diferencia_tiempo_festivos"),
+        days.alias("Diferencia_tiempo_dias"),
         F.when(days >= 5.0, "KO").otherwise("OK").alias("ok_ko"),
     )
+    return with_float_texts(verdicts, "diferencia_tiempo_festivos", "Diferencia_tiempo_dias")
 
 
 def customer_description(spark, sf_dir):
