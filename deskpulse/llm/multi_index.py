@@ -25,7 +25,7 @@ RECALL = 0.97
 ROUNDS = 12
 MOST_CENTROIDS = 256
 # Entries and queries that meet in one task, about, and queries of one matrix product.
-BLOCK = 8192
+BLOCK = 2048
 SLICE = 256
 # Cosines of equal vectors may differ by so much between matrix products.
 ROUNDING = 1e-12
