@@ -14,7 +14,7 @@ from deskpulse.plans.publish import primary_output, publish
 from deskpulse.plans.sla import verdict_of, verdict_table
 from deskpulse.plans.tickets import ticket_list
 from deskpulse.schemas import SLA_DAYS
-from deskpulse.sources.tables import stage, write_table
+from deskpulse.sources.tables import stage, unstage, write_table
 
 
 @dataclass
@@ -42,13 +42,20 @@ def _guarded(tables):
 
 
 def run_states(history, holidays, detail_path, verdict_path, sla_days=SLA_DAYS, options=None, **sink):
-    """History -> detail and verdict tables. The visits are staged once for both."""
+    """History -> detail and verdict tables. The visits are staged once for both.
+
+    The staged table is removed when both are written, and also when one fails.
+    """
     report, go = _guarded({"history": history})
     if go:
-        visited = visits(history, holidays, **(options or {})).drop("_group", "_slice")
-        visited = stage(visited, "visits")
-        _write(detail_of(visited), detail_path, report, **sink)
-        _write(verdict_table(verdict_of(visited, sla_days)), verdict_path, report, **sink)
+        visited, staged = stage(
+            visits(history, holidays, **(options or {})).drop("_group", "_slice"), "visits"
+        )
+        try:
+            _write(detail_of(visited), detail_path, report, **sink)
+            _write(verdict_table(verdict_of(visited, sla_days)), verdict_path, report, **sink)
+        finally:
+            unstage(history.sparkSession, staged)
     return report
 
 
@@ -59,10 +66,10 @@ def run_tickets(description, verdicts, path, **sink):
     return report
 
 
-def run_indicators(tickets, categories, path, **sink):
+def run_indicators(tickets, categories, path, options=None, **sink):
     report, go = _guarded({"tickets": tickets})
     if go:
-        _write(indicators(tickets, categories), path, report, **sink)
+        _write(indicators(tickets, categories, **(options or {})), path, report, **sink)
     return report
 
 
@@ -82,10 +89,10 @@ def run_landing(tables, path, **sink):
     return report
 
 
-def run_primary(standard, computed, path, **sink):
+def run_primary(standard, computed, path, options=None, **sink):
     report, go = _guarded({"standard": standard, "indicators": computed})
     if go:
-        _write(primary_output(standard, computed), path, report, **sink)
+        _write(primary_output(standard, computed, **(options or {})), path, report, **sink)
     return report
 
 

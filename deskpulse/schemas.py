@@ -48,16 +48,7 @@ KEY_REPAIRS = {
     "SSPP Compras_Ordenes de Entrega y Certificaciones_Todas": "SSPP Compras_Ordenes Entrega y Certificaciones_Todas",
 }
 
-LANDING_TABLES = (
-    "lnd_atr_ans_kpi",
-    "lnd_atr_q",
-    "lnd_neg_zeus_elec",
-    "lnd_neg_zeus_gas",
-    "lnd_sspp_ned",
-    "lnd_sspp_ufd",
-)
-
-# --- shapes -----------------------------------------------------------------
+# --- shapes: fixed values too, column names and types of the tables ---------------
 
 
 def _fields(spec):

@@ -1,9 +1,9 @@
 """Reading and writing tables, and the shared folder for intermediate ones."""
 
 import re
-import tempfile
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 # Row numbers of different files are kept this far apart.
@@ -31,23 +31,22 @@ def read_tables(spark, names, **options):
 def read_history(spark, path, schema=None):
     """Parquet history with ``row_seq`` from the order of files and of rows in a file.
 
-    File names are the ones Spark has listed for the scan already; they are ranked
-    by name. Needed only for histories that do not bring a ``row_seq``.
+    Files are ranked by name in Spark: their names meet in one task, their rows do not.
+    Needed only for histories that do not bring a ``row_seq``.
     """
     rows = read_table(spark, path, schema)
     if "row_seq" in rows.columns:
         return rows
-    names = sorted({_bare(name) for name in rows.inputFiles()})
-    ranks = spark.createDataFrame(list(zip(names, range(len(names)))), "_file string, _rank bigint")
     placed = rows.select(
         "*",
         F.regexp_replace("_metadata.file_path", URI_SCHEME, "/").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), "_file")).cast("bigint"))
+    by_name = Window.orderBy("_file")
+    ranks = placed.select("_file").distinct().withColumn("_rank", F.row_number().over(by_name) - 1)
     return (
-        placed.join(ranks, "_file", "left")
-        .withColumn("row_seq", rank * F.lit(FILE_STRIDE) + F.col("_row"))
+        placed.join(ranks, "_file")
+        .withColumn("row_seq", F.col("_rank") * F.lit(FILE_STRIDE) + F.col("_row"))
         .drop("_file", "_rank", "_row")
     )
 
@@ -61,24 +60,79 @@ def write_table(df, path, mode="append", single_file=False, partition_by=()):
 
 
 def work_folder(spark, name):
-    """A new folder in the shared folder the session names in spark.checkpoint.dir.
+    """A new folder in the shared folder for intermediate tables.
 
-    Only a local session may go without that setting and gets a temporary folder.
+    That is the session's spark.checkpoint.dir, or what setCheckpointDir has named.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="deskpulse-")
+        shared = spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df, name):
     """Write an intermediate table to the shared folder and read it back.
 
-    Later steps then start from the files, whatever happens to the executors.
+    Later steps then start from the files, whatever happens to the executors. The caller
+    removes the table (``unstage``) when nothing reads it any more.
     """
     spark = df.sparkSession
     path = work_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def unstage(spark, path):
+    delete(spark, path)
+
+
+# --- single files and folders, in whatever file system the path names -----------------
+
+
+def _place(spark, path):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark, path):
+    files, where = _place(spark, path)
+    return files.exists(where)
+
+
+def delete(spark, path):
+    """Remove a file, or a folder with all it holds."""
+    files, where = _place(spark, path)
+    return files.delete(where, True)
+
+
+def children(spark, path):
+    """Names in a folder, sorted; none if there is no such folder."""
+    files, where = _place(spark, path)
+    if not files.exists(where):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(where))
+
+
+def write_note(spark, path, text):
+    """A small text file, whole or not at all; an older one is replaced."""
+    files, where = _place(spark, path)
+    draft = where.suffix(f".{uuid.uuid4().hex}")
+    out = files.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(where, False)
+    if not files.rename(draft, where):
+        raise OSError(f"could not write {path}")
+
+
+def read_note(spark, path):
+    """The text of a small file, or None."""
+    files, where = _place(spark, path)
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    text = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return text

@@ -2,9 +2,32 @@
 
 A run is a file stream with the available-now trigger. Its checkpoint remembers
 which files were read, so a run takes each new record once and stops.
+
+A stream is known by an id in its checkpoint. What it writes lies under its name, and a
+note beside that says which id owns the name. So neither a lost checkpoint nor a second
+stream under one name can double or replace rows unnoticed: such a run stops before it
+reads, unless it is told to replace what the name holds.
 """
 
-from deskpulse.plans.durations import state_detail
+import json
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
+
+from deskpulse.plans import indicators as computing
+from deskpulse.plans import landing, publish, sla, tickets
+from deskpulse.plans.durations import detail_of, state_detail, visits
+from deskpulse.schemas import SLA_DAYS
+from deskpulse.sources.tables import (
+    children,
+    delete,
+    exists,
+    read_note,
+    stage,
+    unstage,
+    write_note,
+)
 
 
 def new_records(spark, path, schema, fmt="parquet", **options):
@@ -24,15 +47,42 @@ def run_new(source, checkpoint, job):
     return query
 
 
-def append_new(source, checkpoint, transform, path):
+def claim(spark, checkpoint, path, stream, replace=False):
+    """Make sure that the checkpoint's stream owns its name under a path.
+
+    With ``replace`` what another stream, or this one before its checkpoint was lost, has
+    written under the name is removed first. Returns the stream's id.
+    """
+    id_note, owner_note = f"{checkpoint}/stream-id", f"{path}/_owners/{stream}"
+    own = read_note(spark, id_note)
+    if own is None:
+        own = uuid.uuid4().hex
+        write_note(spark, id_note, own)
+    owner = read_note(spark, owner_note)
+    if owner == own:
+        return own
+    if owner is not None and not replace:
+        raise ValueError(
+            f"{path} holds rows of another stream named {stream}, or of this one before its "
+            "checkpoint was lost; use another name, or replace=True to read everything anew"
+        )
+    if owner is not None:
+        delete(spark, f"{path}/stream={stream}")
+    write_note(spark, owner_note, own)
+    return own
+
+
+def append_new(source, checkpoint, transform, path, stream="main", replace=False):
     """Add transform(new records) to a table.
 
-    Every batch owns the folder batch=<id> and replaces it when it is repeated after
-    a failure, so a row is never written twice.
+    Every batch owns the folder stream=<name>/batch=<id> and replaces it when it is
+    repeated after a failure, so a row is never written twice. Several streams may feed
+    one table under names of their own; see ``claim``.
     """
+    claim(source.sparkSession, checkpoint, path, stream, replace)
 
     def write(batch, batch_id):
-        transform(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        transform(batch).write.mode("overwrite").parquet(f"{path}/stream={stream}/batch={batch_id}")
 
     return run_new(source, checkpoint, write)
 
@@ -40,7 +90,7 @@ def append_new(source, checkpoint, transform, path):
 def read_appended(spark, path, schema=None):
     """What append_new has written so far."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path).drop("batch")
+    return reader.parquet(path).drop("stream", "batch")
 
 
 def append_state_detail(source, holidays, checkpoint, path, **options):
@@ -48,38 +98,157 @@ def append_state_detail(source, holidays, checkpoint, path, **options):
     return append_new(source, checkpoint, lambda new: state_detail(new, holidays, **options), path)
 
 
-def join_new(source, static, keys, checkpoint, path):
+def join_new(source, static, keys, checkpoint, path, **options):
     """New records joined to all rows of a static table."""
-    return append_new(source, checkpoint, lambda new: new.join(static, keys), path)
+    return append_new(source, checkpoint, lambda new: new.join(static, keys), path, **options)
 
 
-def run_both_new(spark, left, right, checkpoint, folder, job):
-    """Call job(left, right) with the new records of two sources.
+def run_new_together(spark, sources, checkpoint, folder, job, need="all", replace=False):
+    """Call job(frames) with the new records of several sources, by name.
 
-    Each source keeps its own checkpoint and parks its new records in ``folder``.
-    Without new records on either side the job is not called, and what was parked is
-    not offered again: rows that arrive in different runs never meet.
+    Each source keeps its own checkpoint and parks its new records in ``folder``. A run
+    notes which batches belong together; it is settled when the job has returned, or when
+    a source had no new rows (any source for ``need="all"``, all of them for ``"any"``)
+    and the job is not called. A run whose job failed is offered again, as it was, before
+    newer records are looked for: records are not lost, and rows of different runs do not
+    meet. A job may so see a run twice and should replace what it wrote for it; see
+    ``append_together``. ``replace`` starts all sources anew: give it together with fresh
+    checkpoints for all of them, runs that are still open are dropped. Returns the number of runs the job was called for.
     """
-    parked = {}
-    for side, source in (("left", left), ("right", right)):
-        seen = []
-
-        def park(batch, batch_id, side=side, seen=seen):
-            target = f"{folder}/{side}/batch={batch_id}"
-            batch.write.mode("overwrite").parquet(target)
-            seen.append(target)
-
-        run_new(source, f"{checkpoint}/{side}", park)
-        parked[side] = [spark.read.schema(source.schema).parquet(t) for t in seen]
-    if not parked["left"] or not parked["right"]:
-        return False
-    frames = []
-    for side in ("left", "right"):
-        frame = parked[side][0]
-        for more in parked[side][1:]:
-            frame = frame.unionByName(more)
-        frames.append(frame)
-    if frames[0].isEmpty() or frames[1].isEmpty():
-        return False
-    job(*frames)
-    return True
+    if need not in ("all", "any"):
+        raise ValueError(f"need must be 'all' or 'any', not {need}")
+    runs, called = f"{folder}/_runs", 0
+    if replace:
+        delete(spark, runs)
+    places = {
+        name: f"{folder}/stream={name}/id={claim(spark, f'{checkpoint}/{name}', folder, name, replace)}"
+        for name in sources
+    }
+
+    def offer(run):
+        batches = json.loads(read_note(spark, f"{runs}/{run}"))
+        frames = {}
+        for name, source in sources.items():
+            parts = [spark.read.schema(source.schema).parquet(p) for p in batches.get(name, [])]
+            if parts:
+                frame = reduce(DataFrame.unionByName, parts)
+                if not frame.isEmpty():
+                    frames[name] = frame
+        ready = frames and (need == "any" or len(frames) == len(sources))
+        if ready:
+            job(frames, run)
+        write_note(spark, f"{runs}/{run}.settled", "called" if ready else "not called")
+        return int(bool(ready))
+
+    noted = children(spark, runs)
+    open_runs = [n for n in noted if n.isdigit() and f"{n}.settled" not in noted]
+    for run in open_runs:
+        called += offer(run)
+    for name, source in sources.items():
+
+        def park(batch, batch_id, name=name):
+            batch.write.mode("overwrite").parquet(f"{places[name]}/batch={batch_id}")
+
+        run_new(source, f"{checkpoint}/{name}", park)
+    settled = set()
+    for run in (n for n in children(spark, runs) if n.isdigit()):
+        settled |= {p for paths in json.loads(read_note(spark, f"{runs}/{run}")).values() for p in paths}
+    batches = {}
+    for name in sources:
+        parked = [f"{places[name]}/{batch}" for batch in children(spark, places[name])]
+        # a batch that was cut off has no success note and is parked again
+        fresh = [p for p in parked if p not in settled and exists(spark, f"{p}/_SUCCESS")]
+        if fresh:
+            batches[name] = fresh
+    if batches:
+        run = f"{len([n for n in children(spark, runs) if n.isdigit()]):08d}"
+        write_note(spark, f"{runs}/{run}", json.dumps(batches))
+        called += offer(run)
+    return called
+
+
+def run_both_new(spark, left, right, checkpoint, folder, job, replace=False):
+    """Call job(left, right) with the new records of two sources; see ``run_new_together``.
+
+    Without new records on either side the job is not called, and what was parked is not
+    offered again: rows that arrive in different runs never meet. True if it was called.
+    """
+    sources = {"left": left, "right": right}
+    call = lambda frames, run: job(frames["left"], frames["right"])
+    return run_new_together(spark, sources, checkpoint, folder, call, replace=replace) > 0
+
+
+def append_together(spark, sources, checkpoint, folder, transform, path, need="all", replace=False):
+    """Add transform(frames) of every run to a table; a repeated run replaces its folder."""
+    if replace:
+        delete(spark, path)
+
+    def write(frames, run):
+        transform(frames).write.mode("overwrite").parquet(f"{path}/run={run}")
+
+    return run_new_together(spark, sources, checkpoint, folder, write, need, replace)
+
+
+def read_runs(spark, path, schema=None):
+    """What append_together has written so far."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).drop("run")
+
+
+# --- the six jobs over new records ------------------------------------------------------
+
+
+def append_states(source, holidays, checkpoint, detail_path, verdict_path, sla_days=SLA_DAYS, stream="main", replace=False, **options):
+    """First job: detail and verdicts of the new records, both tables from one batch.
+
+    A ticket is computed from the records of the batch alone.
+    """
+    spark = source.sparkSession
+    for path in (detail_path, verdict_path):
+        claim(spark, checkpoint, path, stream, replace)
+
+    def write(batch, batch_id):
+        visited, staged = stage(visits(batch, holidays, **options).drop("_group", "_slice"), "visits")
+        try:
+            for table, path in (
+                (detail_of(visited), detail_path),
+                (sla.verdict_table(sla.verdict_of(visited, sla_days)), verdict_path),
+            ):
+                table.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch={batch_id}")
+        finally:
+            unstage(spark, staged)
+
+    return run_new(source, checkpoint, write)
+
+
+def append_tickets(spark, description, verdicts, checkpoint, folder, path, **options):
+    """Second job: new descriptions with new verdicts."""
+    sources = {"description": description, "verdicts": verdicts}
+    make = lambda new: tickets.ticket_list(new["description"], new["verdicts"])
+    return append_together(spark, sources, checkpoint, folder, make, path, **options)
+
+
+def append_indicators(source, categories, checkpoint, path, stream="main", replace=False, **options):
+    """Third job: indicators of the new tickets against the whole category table."""
+    make = lambda new: computing.indicators(new, categories, **options)
+    return append_new(source, checkpoint, make, path, stream, replace)
+
+
+def append_landing(spark, sources, checkpoint, folder, path, **options):
+    """Fourth job: new rows of whichever landed tables have some."""
+    make = lambda new: landing.standardise(new)[0]
+    return append_together(spark, sources, checkpoint, folder, make, path, need="any", **options)
+
+
+def append_primary(spark, standard, computed, checkpoint, folder, path, **options):
+    """Fifth job: new standard rows with new indicators."""
+    sources = {"standard": standard, "indicators": computed}
+    make = lambda new: publish.primary_output(new["standard"], new["indicators"])
+    return append_together(spark, sources, checkpoint, folder, make, path, **options)
+
+
+def append_output(spark, primary, claims, checkpoint, folder, path, mode="override", **options):
+    """Sixth job: new primary rows with new claims."""
+    sources = {"primary": primary, "claims": claims}
+    make = lambda new: publish.publish(new["primary"], new["claims"], mode)
+    return append_together(spark, sources, checkpoint, folder, make, path, **options)

@@ -230,7 +230,10 @@ def test_tables(spark, tmp_path):
     assert io.read_table(spark, path).count() == 4
     df.createOrReplaceTempView("una_tabla")
     assert io.read_tables(spark, ["una_tabla"])["una_tabla"].count() == 2
-    assert io.stage(df, "t").count() == 2
+    staged, path = io.stage(df, "t")
+    assert staged.count() == 2 and io.exists(spark, path)
+    io.unstage(spark, path)
+    assert not io.exists(spark, path)
 
 
 def test_history_takes_its_order_from_the_files(spark, tmp_path):

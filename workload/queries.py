@@ -358,8 +358,7 @@ def input_counts(spark, sf):
     return row_counts({n: t.table(spark, sf, n) for n in names})
 
 
-def state_job(spark, sf):
-    """The first job with its sinks; returns the verdict table it wrote."""
+def _run_state_job(spark, sf):
     folder = work_folder(spark, "state-job")
     jobs.run_states(
         t.history(spark, sf),
@@ -369,48 +368,184 @@ def state_job(spark, sf):
         sla_days=EVENT_LIMIT,
         options={"years": t.EVENT_YEARS},
     )
-    return read_table(spark, f"{folder}/verdicts")
+    return folder
+
+
+def state_job(spark, sf):
+    """The first job with its sinks; returns the verdict table it wrote."""
+    return read_table(spark, f"{_run_state_job(spark, sf)}/verdicts")
+
+
+def state_job_detail(spark, sf):
+    """The first job; returns the detail table it wrote."""
+    folder = _run_state_job(spark, sf)
+    return read_table(spark, f"{folder}/detail")
 
 
 def staged_visits(spark, sf):
-    return sla.closing_days(stage(_visits(spark, sf), "visits")).select(
+    staged, _ = stage(_visits(spark, sf), "visits")
+    return sla.closing_days(staged).select(
         "id_ticket", "date_particion", dates.closing_text("end_day").alias("date")
     )
 
 
-def _event_stream(spark, sf):
-    schema = t.table(spark, sf, "events").schema
-    return incremental.new_records(spark, sf, schema, pathGlobFilter="events.parquet")
+def _in_two_runs(spark, name, frames, run):
+    """run(streams, folder), twice, over folders that grow in between.
+
+    ``frames`` maps names to (rows, part): the rows of part 0 land first, those of part 1
+    after the first run.
+    """
+    folder = work_folder(spark, name)
+    for part in (0, 1):
+        streams = {}
+        for source, (df, in_part) in frames.items():
+            place = f"{folder}/in/{source}"
+            df.filter(in_part == part).write.mode("append").parquet(place)
+            streams[source] = incremental.new_records(spark, place, df.schema)
+        run(streams, folder)
+    return folder
+
+
+def _by_user(spark, sf):
+    """History rows; one half of the tickets lands first, the other half later."""
+    return {"history": (t.history(spark, sf), F.col("id_ticket").cast("bigint") % 2)}
 
 
 def incremental_append(spark, sf):
-    """Two runs over the event folder; the second finds nothing new."""
-    folder = work_folder(spark, "incremental")
+    """Detail of a history folder that grows between two runs."""
     holidays = t.holidays(spark, sf)
 
-    def detail(new):
-        return durations.state_detail(t.history_of(new), holidays, years=t.EVENT_YEARS)
-
-    for _ in range(2):
-        incremental.append_new(
-            _event_stream(spark, sf), f"{folder}/checkpoint", detail, f"{folder}/detail"
+    def run(streams, folder):
+        incremental.append_state_detail(
+            streams["history"], holidays, f"{folder}/checkpoint", f"{folder}/detail", years=t.EVENT_YEARS
         )
+
+    folder = _in_two_runs(spark, "incremental-append", _by_user(spark, sf), run)
     return incremental.read_appended(spark, f"{folder}/detail")
 
 
 def incremental_static_join(spark, sf):
     """New events against the whole nation table."""
-    folder = work_folder(spark, "incremental")
     nations = t.table(spark, sf, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("nation"), "n_name"
     )
-    events = _event_stream(spark, sf).select(
+    events = t.table(spark, sf, "events").select(
         "event_id", "event_type", (F.col("user_id") % 25).alias("nation")
     )
-    incremental.join_new(events, nations, ["nation"], f"{folder}/checkpoint", f"{folder}/joined")
+
+    def run(streams, folder):
+        incremental.join_new(
+            streams["events"], nations, ["nation"], f"{folder}/checkpoint", f"{folder}/joined"
+        )
+
+    frames = {"events": (events, F.col("event_id") % 2)}
+    folder = _in_two_runs(spark, "incremental-join", frames, run)
     return incremental.read_appended(spark, f"{folder}/joined")
 
 
+def _incremental_states(spark, sf):
+    holidays = t.holidays(spark, sf)
+
+    def run(streams, folder):
+        incremental.append_states(
+            streams["history"], holidays, f"{folder}/checkpoint", f"{folder}/detail",
+            f"{folder}/verdicts", sla_days=EVENT_LIMIT, years=t.EVENT_YEARS,
+        )
+
+    return _in_two_runs(spark, "incremental-states", _by_user(spark, sf), run)
+
+
+def incremental_states(spark, sf):
+    """First job over two runs: the verdict table."""
+    return incremental.read_appended(spark, f"{_incremental_states(spark, sf)}/verdicts")
+
+
+def incremental_states_detail(spark, sf):
+    """First job over two runs: the detail table, written from the same batches."""
+    return incremental.read_appended(spark, f"{_incremental_states(spark, sf)}/detail")
+
+
+def incremental_both_new(spark, sf):
+    """Second job over two runs with new rows on both sides."""
+    by_ticket = F.col("id_ticket").cast("bigint") % 2
+    frames = {
+        "description": (t.order_description(spark, sf), by_ticket),
+        "verdicts": (t.order_verdicts(spark, sf), by_ticket),
+    }
+
+    def run(streams, folder):
+        incremental.append_tickets(
+            spark, streams["description"], streams["verdicts"], f"{folder}/checkpoint",
+            f"{folder}/parked", f"{folder}/tickets",
+        )
+
+    folder = _in_two_runs(spark, "incremental-tickets", frames, run)
+    numbers = ("diferencia_tiempo_festivos", "Diferencia_tiempo_dias")
+    listed = incremental.read_runs(spark, f"{folder}/tickets")
+    return listed.withColumns({n: number_or_null(n) for n in numbers})
+
+
+def incremental_indicators(spark, sf):
+    """Third job over two runs; the tickets of a project land together."""
+    categories = _categories(spark, sf)
+    frames = {"tickets": (_tickets(spark, sf), F.crc32("proyecto") % 2)}
+
+    def run(streams, folder):
+        incremental.append_indicators(
+            streams["tickets"], categories, f"{folder}/checkpoint", f"{folder}/indicators"
+        )
+
+    folder = _in_two_runs(spark, "incremental-indicators", frames, run)
+    return incremental.read_appended(spark, f"{folder}/indicators")
+
+
+def incremental_landing(spark, sf):
+    """Fourth job over two runs; one table has no rows in the second."""
+    frames = {
+        name: (df, F.lit(0) if name == "lnd_nations" else F.crc32("nombre") % 2)
+        for name, df in t.landing_tables(spark, sf).items()
+    }
+
+    def run(streams, folder):
+        incremental.append_landing(
+            spark, streams, f"{folder}/checkpoint", f"{folder}/parked", f"{folder}/standard"
+        )
+
+    folder = _in_two_runs(spark, "incremental-landing", frames, run)
+    return incremental.read_runs(spark, f"{folder}/standard")
+
+
+def incremental_primary(spark, sf):
+    """Fifth job over two runs; the rows of a key land together."""
+    by_id = F.crc32("id") % 2
+    standard, _ = landing.standardise(t.landing_tables(spark, sf))
+    frames = {"standard": (standard, by_id), "indicators": (indicators_all(spark, sf), by_id)}
+
+    def run(streams, folder):
+        incremental.append_primary(
+            spark, streams["standard"], streams["indicators"], f"{folder}/checkpoint",
+            f"{folder}/parked", f"{folder}/primary",
+        )
+
+    folder = _in_two_runs(spark, "incremental-primary", frames, run)
+    return incremental.read_runs(spark, f"{folder}/primary")
+
+
+def incremental_output(spark, sf):
+    """Sixth job over two runs; the rows of a key land together."""
+    by_id = F.crc32("id") % 2
+    frames = {"primary": (t.landed(spark, sf), by_id), "claims": (t.claims(spark, sf), by_id)}
+
+    def run(streams, folder):
+        incremental.append_output(
+            spark, streams["primary"], streams["claims"], f"{folder}/checkpoint",
+            f"{folder}/parked", f"{folder}/output",
+        )
+
+    folder = _in_two_runs(spark, "incremental-output", frames, run)
+    return incremental.read_runs(spark, f"{folder}/output")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -459,8 +594,16 @@ QUERIES = {
         service_report,
         input_counts,
         state_job,
+        state_job_detail,
         staged_visits,
         incremental_append,
         incremental_static_join,
+        incremental_states,
+        incremental_states_detail,
+        incremental_both_new,
+        incremental_indicators,
+        incremental_landing,
+        incremental_primary,
+        incremental_output,
     )
 }

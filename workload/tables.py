@@ -227,22 +227,22 @@ def landing_tables(spark, sf_dir):
 
     supplier, customer, nation = (table(spark, sf_dir, t) for t in ("supplier", "customer", "nation"))
     return {
-        "lnd_atr_ans_kpi": parts(F.concat_ws("-", "p_brand", "p_type")),
-        "lnd_atr_q": parts(F.concat_ws("-", "p_brand", "p_type")),
-        "lnd_neg_zeus_elec": parts(F.col("p_brand")),
-        "lnd_neg_zeus_gas": _standard_rows(
+        "lnd_parts": parts(F.concat_ws("-", "p_brand", "p_type")),
+        "lnd_parts_again": parts(F.concat_ws("-", "p_brand", "p_type")),
+        "lnd_brands": parts(F.col("p_brand")),
+        "lnd_suppliers": _standard_rows(
             supplier, F.col("s_name"), F.lit("proveedor"), F.col("s_nationkey").cast("string"),
             F.lit("compras"), F.col("s_nationkey") % 12 + 1,
         ),
-        "lnd_sspp_ned": _standard_rows(
+        "lnd_customers": _standard_rows(
             customer, F.col("c_name"), F.col("c_mktsegment"), F.col("c_nationkey").cast("string"),
             F.lit("ventas"), F.col("c_nationkey") % 12 + 1,
         ),
-        "lnd_sspp_ufd": _standard_rows(
+        "lnd_nations": _standard_rows(
             nation, F.col("n_name"), F.lit("nación"), F.col("n_regionkey").cast("string"),
             F.lit("países"), F.col("n_nationkey") % 12 + 1,
         ),
-        "lnd_estrecha": _standard_rows(
+        "lnd_narrow": _standard_rows(
             nation, F.col("n_name"), F.lit("estrecha"), F.col("n_regionkey").cast("string"),
             F.lit("países"), F.col("n_nationkey") % 12 + 1,
         ).drop("descripción"),
