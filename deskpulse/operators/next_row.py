@@ -44,13 +44,49 @@ def _lead_over_slices(rows, split_rows, group, order, values):
     ).drop("_over")
 
 
+def _width(low, high, count, limit):
+    """Width of equal parts of a range of whole numbers, about ``limit`` rows in each."""
+    parts = F.ceil(count / limit)
+    return F.greatest(F.lit(1), F.ceil((high - low + 1) / parts)).cast("bigint")
+
+
+def _part(value, low, width):
+    return F.floor((value - low) / width)
+
+
 def next_in_sequence(rows, sequence, values, chunk_rows=SPLIT_ROWS):
     """The next row of the whole table.
 
-    ``sequence`` is a distinct whole number per row; it may have gaps. Only one head
-    row per ``chunk_rows`` numbers meets in the window over heads.
+    ``sequence`` is a distinct whole number per row; it may have gaps of any size. The
+    range of numbers is cut into equal parts, as many as the rows need, and a part that
+    still holds many rows once more by its own range. So the slices, and the head rows
+    that meet in one window, number about rows / chunk_rows however the numbers lie.
     """
-    chunked = rows.withColumn("_slice", F.floor(F.col(sequence) / F.lit(chunk_rows)))
+    at = F.col(sequence)
+    whole = rows.agg(
+        F.min(at).alias("low"),
+        F.max(at).alias("high"),
+        F.greatest(F.lit(chunk_rows), F.count(at) / F.lit(MOST_HOT_GROUPS)).alias("limit"),
+        F.count(at).alias("count"),
+    )
+    cut = whole.select(
+        F.struct("low", "limit", _width(F.col("low"), F.col("high"), F.col("count"), F.col("limit")).alias("width"))
+    ).scalar()
+    parted = rows.withColumn("_part", _part(at, cut["low"], cut["width"]))
+    limit = F.col("count") > 2 * cut["limit"]
+    full = parted.groupBy("_part").agg(
+        F.min(at).alias("_low"), F.max(at).alias("_high"), F.count(at).alias("count")
+    )
+    full = full.filter(limit).select(
+        "_part",
+        "_low",
+        _width(F.col("_low"), F.col("_high"), F.col("count"), cut["limit"]).alias("_width"),
+    )
+    # at most half of MOST_HOT_GROUPS parts can be that full
+    chunked = parted.join(F.broadcast(full), "_part", "left").withColumn(
+        "_slice", F.struct("_part", _part(at, F.col("_low"), F.col("_width")).alias("sub"))
+    )
+    chunked = chunked.drop("_part", "_low", "_width")
     return _lead_over_slices(chunked, chunked, [], [sequence], values).drop("_slice")
 
 
@@ -69,8 +105,10 @@ def next_in_group(
 ):
     """The next row, by (time, sequence), of the same group.
 
-    Groups of normal size stay whole. A group above ``split_rows`` is cut by hour, and
-    an hour of it that is still above by second and by runs of ``sequence``.
+    Groups of normal size stay whole. A group above ``split_rows`` is cut by hour, an hour
+    of it that is still above into equal spans of time, and a span that is still above by
+    second and, by the range of its numbers, into equal parts of ``sequence``. Each cut
+    makes as many slices as the rows need, so heads stay few when numbers are sparse.
     ``split_rows=None`` saves the counting for logs known to have no such group.
     ``prepare`` may append columns such as ``time``; groups are counted and hot rows
     are picked without them.
@@ -91,24 +129,50 @@ def next_in_group(
         )
         return led.select(*whole, *added, "_group", "_slice")
 
-    def sliced(some):
+    second = F.unix_seconds(time)
+    span = F.floor(second % 3600 / F.col("_span_width"))
+
+    def in_spans(some):
         by_hour = some.withColumn("_hour", hour).join(
-            F.broadcast(hot_hours.withColumn("_is_full", F.lit(True))), ["_group", "_hour"], "left"
+            F.broadcast(full_hours), ["_group", "_hour"], "left"
+        )
+        return by_hour.withColumn("_span", span).drop("_span_width")
+
+    def sliced(some):
+        by_span = in_spans(some).join(
+            F.broadcast(full_spans), ["_group", "_hour", "_span"], "left"
         )
-        is_full = F.col("_is_full").isNotNull()
+        run = _part(F.col(sequence), F.col("_low"), F.col("_width"))
         cut = F.struct(
-            "_hour",
-            F.when(is_full, F.unix_seconds(time)).alias("second"),
-            F.when(is_full, F.floor(F.col(sequence) / F.lit(split_rows))).alias("run"),
+            "_hour", "_span", F.when(run.isNotNull(), second).alias("second"), run.alias("run")
         )
-        return by_hour.withColumn("_slice", cut).drop("_hour", "_is_full")
+        return by_span.withColumn("_slice", cut).drop("_hour", "_span", "_low", "_width")
 
     counts = rows.groupBy("_group").count()
     limit = _hot_limit(counts, split_rows)
     hot = counts.filter(F.col("count") > limit).select("_group")
     hot_rows = prepare(rows.join(F.broadcast(hot), "_group", "left_semi"))
     hours = hot_rows.groupBy("_group", hour.alias("_hour")).count()
-    hot_hours = hours.filter(F.col("count") > limit).select("_group", "_hour")
+    full_hours = hours.filter(F.col("count") > limit).select(
+        "_group", "_hour", F.ceil(F.lit(3600) / F.ceil(F.col("count") / limit)).alias("_span_width")
+    )
+    spans = (
+        in_spans(hot_rows)
+        .filter("_span IS NOT NULL")
+        .groupBy("_group", "_hour", "_span")
+        .agg(
+            F.min(sequence).alias("_low"),
+            F.max(sequence).alias("_high"),
+            F.count(F.lit(1)).alias("count"),
+        )
+    )
+    full_spans = spans.filter(F.col("count") > 2 * limit).select(
+        "_group",
+        "_hour",
+        "_span",
+        "_low",
+        _width(F.col("_low"), F.col("_high"), F.col("count"), limit).alias("_width"),
+    )
 
     flagged = rows.join(F.broadcast(hot.withColumn("_is_hot", F.lit(True))), "_group", "left")
     cut_rows = sliced(prepare(flagged)).withColumn(
