@@ -67,14 +67,6 @@ def holiday_counter(holidays):
     return functools.partial(_count_upto, index.scalar())
 
 
-def holiday_counter_of(dates):
-    """The same for a short Python list of dates."""
-    weekdays = sorted({d for d in dates if d.weekday() < 5})
-    if not weekdays:
-        return lambda day: F.lit(0)
-    return functools.partial(_count_upto, _running_counts(F.array(*[F.lit(d) for d in weekdays])))
-
-
 def days_off(begin, end, holidays_upto):
     """Non-business days in [begin, end]; 0 when the end is missing or earlier."""
     begin, end = _as_column(begin), _as_column(end)

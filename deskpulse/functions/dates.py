@@ -69,17 +69,23 @@ def month_text(column):
     return F.date_format(F.trunc(day, "MM"), MONTH_TEXT)
 
 
-def holidays_in_years(holidays, years=None, column="date"):
+def holidays_in_years(holidays, years=None, column="date", on_missing="fail"):
     """Distinct holiday dates (column ``day``) of a dd/MM/yyyy text table.
 
     With ``years`` every day and month is moved into each of those years, and
     29 February drops out of the years that lack it. Without, dates stay as given.
+    A holiday without a date fails the job; ``on_missing="drop"`` leaves it out.
     """
     day = F.to_date(F.col(column), DAY_TEXT)
+    if on_missing == "fail":
+        day = F.coalesce(day, F.raise_error(F.lit("holiday without a date")).cast("date"))
+    elif on_missing != "drop":
+        raise ValueError(f"on_missing must be 'fail' or 'drop', not {on_missing}")
+    dated = holidays.select(day.alias("day")).filter("day IS NOT NULL")
     if years is None:
-        return holidays.select(day.alias("day")).filter("day IS NOT NULL").distinct()
-    moved = holidays.select(
-        F.date_format(day, "dd/MM/").alias("day_month"),
+        return dated.distinct()
+    moved = dated.select(
+        F.date_format("day", "dd/MM/").alias("day_month"),
         F.explode(F.array(*[F.lit(int(y)) for y in years])).alias("year"),
     )
     text = F.concat("day_month", F.lpad(F.col("year").cast("string"), 4, "0"))

@@ -20,10 +20,6 @@ def move_last(df, name):
     return df.select(*[c for c in df.columns if c != name], name)
 
 
-def with_constants(df, **constants):
-    return df.withColumns({name: F.lit(value) for name, value in constants.items()})
-
-
 def in_order(df, names):
     return df.select(*names)
 
@@ -41,9 +37,21 @@ def conform(df, schema):
 
 
 def replace_cells(df, *mappings):
-    """Replace whole cells in all text columns, one pass per mapping."""
+    """Replace whole cells in all text columns, one pass per mapping.
+
+    A mapping is a dict, or a small frame with the text columns ``old`` and ``new``. A
+    frame travels as one value; an old text that it lists twice fails the job.
+    """
     for mapping in mappings:
-        df = df.na.replace(mapping)
+        if isinstance(mapping, dict):
+            df = df.na.replace(mapping)
+            continue
+        pairs = mapping.filter("old IS NOT NULL").agg(F.collect_list(F.struct("old", "new")))
+        table = F.map_from_entries(pairs.scalar())
+        names = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+        df = df.withColumns(
+            {n: F.when(F.map_contains_key(table, F.col(n)), F.try_element_at(table, F.col(n))).otherwise(F.col(n)) for n in names}
+        )
     return df
 
 
@@ -51,6 +59,3 @@ def fill_missing(df):
     """Nulls and NaNs become 0.0, in text columns the text '0.0'."""
     return df.na.fill(0.0).na.fill("0.0")
 
-
-def text_columns(df):
-    return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]

@@ -4,19 +4,11 @@ import functools
 
 from pyspark.sql import DataFrame
 
-from deskpulse.operators.columns import conform
-
 
 def union_all(frames):
     return functools.reduce(DataFrame.unionByName, frames)
 
 
-def union_as_first(frames):
-    """Union by position under the names of the first frame."""
-    names = frames[0].columns
-    return union_all([frames[0], *[df.toDF(*names) for df in frames[1:]]])
-
-
 def union_distinct(frames):
     return union_all(frames).distinct()
 
@@ -28,10 +20,6 @@ def fitting(tables, width):
     return taken, report
 
 
-def union_conformed(frames, schema):
-    return union_all([conform(df, schema) for df in frames])
-
-
 def members(df, values, on):
     """Rows whose key occurs in another table; nulls never match."""
     keys = [on] if isinstance(on, str) else list(on)

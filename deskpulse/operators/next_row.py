@@ -57,10 +57,18 @@ def _part(value, low, width):
 def next_in_sequence(rows, sequence, values, chunk_rows=SPLIT_ROWS):
     """The next row of the whole table.
 
-    ``sequence`` is a distinct whole number per row; it may have gaps of any size. The
-    range of numbers is cut into equal parts, as many as the rows need, and a part that
-    still holds many rows once more by its own range. So the slices, and the head rows
-    that meet in one window, number about rows / chunk_rows however the numbers lie.
+    ``sequence`` is a distinct whole number per row; it may have gaps of any size.
+    """
+    sliced = sequence_slices(rows, sequence, chunk_rows)
+    return _lead_over_slices(sliced, sliced, [], [sequence], values).drop("_slice")
+
+
+def sequence_slices(rows, sequence, chunk_rows=SPLIT_ROWS):
+    """Append ``_slice``, which follows the order of a whole number.
+
+    The range of numbers is cut into equal parts, as many as the rows need, and a part
+    that still holds many rows once more by its own range. So the slices, and the head
+    rows that meet in one window, number about rows / chunk_rows with gaps of any size.
     """
     at = F.col(sequence)
     whole = rows.agg(
@@ -86,8 +94,7 @@ def next_in_sequence(rows, sequence, values, chunk_rows=SPLIT_ROWS):
     chunked = parted.join(F.broadcast(full), "_part", "left").withColumn(
         "_slice", F.struct("_part", _part(at, F.col("_low"), F.col("_width")).alias("sub"))
     )
-    chunked = chunked.drop("_part", "_low", "_width")
-    return _lead_over_slices(chunked, chunked, [], [sequence], values).drop("_slice")
+    return chunked.drop("_part", "_low", "_width")
 
 
 def _hot_limit(counts, split_rows):

@@ -8,10 +8,13 @@ from deskpulse.operators.columns import rename_all, replace_cells
 from deskpulse.schemas import CATEGORIES, KEY_REPAIRS, NAME_REPAIRS
 
 
-def repaired_categories(raw):
-    """Named columns, repaired spellings and a lower-case key."""
+def repaired_categories(raw, mappings=(NAME_REPAIRS, KEY_REPAIRS)):
+    """Named columns, repaired spellings and a lower-case key.
+
+    ``mappings`` are applied one after the other; see ``replace_cells``.
+    """
     named = rename_all(raw.drop("col8"), CATEGORIES.fieldNames())
-    repaired = replace_cells(named, NAME_REPAIRS, KEY_REPAIRS)
+    repaired = replace_cells(named, *mappings)
     return repaired.withColumn("id_pro_flu_sol", lowered("id_pro_flu_sol"))
 
 

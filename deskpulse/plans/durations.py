@@ -12,17 +12,20 @@ from deskpulse.session import require_utc
 HISTORY_COLUMNS = ("id_ticket", "estado", "fecha", "date", "row_seq")
 
 
-def with_next_state(history, scope="ticket", on_bad_start="fail", split_rows=SPLIT_ROWS):
+def with_next_state(
+    history, scope="ticket", on_bad_start="fail", split_rows=SPLIT_ROWS, keep=()
+):
     """Append the start time and the state and time that follow each row.
 
     ``scope="ticket"`` looks inside a ticket of one export, by time and then
     ``row_seq``; ``scope="file"`` takes the next row of the whole table by
     ``row_seq``. Nothing follows the last row or a row before a newly opened ticket.
+    ``keep`` names further history columns to carry along.
     """
     def parsed(rows):
         return rows.withColumn("start_ts", dates.start_time("fecha", on_bad_start))
 
-    rows = history.select(*HISTORY_COLUMNS)
+    rows = history.select(*HISTORY_COLUMNS, *keep)
     values = ["estado", "fecha", "start_ts"]
     if scope == "ticket":
         led = next_in_group(
@@ -51,6 +54,7 @@ def visits(
     scope="ticket",
     on_bad_start="fail",
     split_rows=SPLIT_ROWS,
+    keep=(),
 ):
     """One row per history row with seconds, days off and end date of the visit.
 
@@ -59,7 +63,7 @@ def visits(
     """
     require_utc(history.sparkSession)
     holidays_upto = holiday_counter(dates.holidays_in_years(holidays, years))
-    followed = with_next_state(history, scope, on_bad_start, split_rows)
+    followed = with_next_state(history, scope, on_bad_start, split_rows, keep)
     return followed.withColumns(
         {
             "seconds": dates.elapsed_seconds("start_ts", "end_ts"),
@@ -69,8 +73,11 @@ def visits(
     )
 
 
-def detail_of(visited):
-    """The published detail table: working states only, durations as text."""
+def detail_of(visited, keep=()):
+    """The published detail table: working states only, durations as text.
+
+    Columns named in ``keep`` follow behind.
+    """
     working = visited.filter(is_working("estado"))
     net = dates.days_of("seconds") - F.col("off_days")
     missing = ~F.col("has_next")
@@ -87,9 +94,10 @@ def detail_of(visited):
         F.when(net > 0, text.hundredths_text("seconds", "off_days"))
         .otherwise("0.00")
         .alias("diferencia_tiempo_festivos"),
-    ).select(*DETAIL_COLUMNS)
+        *keep,
+    ).select(*DETAIL_COLUMNS, *keep)
 
 
-def state_detail(history, holidays, **options):
+def state_detail(history, holidays, keep=(), **options):
     """Each visit to a working state with its length in days, gross and net."""
-    return detail_of(visits(history, holidays, **options))
+    return detail_of(visits(history, holidays, keep=keep, **options), keep)

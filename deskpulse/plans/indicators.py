@@ -5,7 +5,13 @@ from pyspark.sql import functions as F
 from deskpulse.functions.text import request_key
 from deskpulse.functions.values import EXACT, exact_number, exact_or_zero
 from deskpulse.plans.categories import flows_by_branch, repaired_categories
-from deskpulse.schemas import ALL_REQUESTS, INDICATOR_COLUMNS, INDICATOR_TYPES
+from deskpulse.schemas import (
+    ALL_REQUESTS,
+    INDICATOR_COLUMNS,
+    INDICATOR_TYPES,
+    KEY_REPAIRS,
+    NAME_REPAIRS,
+)
 
 SUMS = ("volumen_total_casos", "total_tiempo", "sum_casos_ok")
 
@@ -126,9 +132,18 @@ def measured(fed):
     )
 
 
-def indicators(tickets, raw_categories, types=INDICATOR_TYPES, zero_fill=False):
-    """Monthly volume (Q), mean net days per case (ANS) and share inside the limit (KPI)."""
-    categories = repaired_categories(raw_categories).filter(
+def indicators(
+    tickets,
+    raw_categories,
+    types=INDICATOR_TYPES,
+    zero_fill=False,
+    mappings=(NAME_REPAIRS, KEY_REPAIRS),
+):
+    """Monthly volume (Q), mean net days per case (ANS) and share inside the limit (KPI).
+
+    ``mappings`` repair the spellings of the categories.
+    """
+    categories = repaired_categories(raw_categories, mappings).filter(
         F.col("tipo_indicador").isin(*types)
     )
     return measured(_categorised(tickets, categories, zero_fill))

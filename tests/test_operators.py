@@ -76,6 +76,35 @@ def test_next_in_sequence_equals_brute_force(skewed, chunk_rows):
     assert found == _follow(rows, lambda r: 0, lambda r: r[3])
 
 
+def test_sparse_numbers_give_few_slices(spark):
+    """100,000 rows with numbers ten million apart, and a dense run far away from them."""
+    split = 1000
+    numbers = F.when(F.col("id") < 100_000, F.col("id") * 10_000_000).otherwise(10**15 + F.col("id"))
+    df = spark.range(110_000).select(numbers.alias("seq"), F.col("id").alias("n"))
+    sliced = next_row.sequence_slices(df, "seq", split)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert len(sizes) <= 3 * 110 and max(sizes) <= 3 * split
+    led = next_row.next_in_sequence(df, "seq", ["n"], split)
+    assert led.where("has_next").where("next_n <> n + 1").count() == 0
+    assert [r.n for r in led.where("NOT has_next").collect()] == [109_999]
+
+
+def test_sparse_numbers_in_one_hour_of_a_hot_group(spark):
+    split = 1000
+    rows = spark.range(20_000).select(
+        F.lit("g").alias("g"),
+        F.lit("p").alias("p"),
+        F.timestamp_seconds(F.when(F.col("id") < 12_000, F.col("id") * 3600 / 12_000).otherwise(3599).cast("bigint")).alias("ts"),
+        (F.col("id") * 10_000_000).alias("seq"),
+        F.col("id").alias("n"),
+    )
+    led = next_row.next_in_group(rows, ["g", "p"], "ts", "seq", ["n"], split)
+    sizes = [r["count"] for r in led.groupBy("_group", "_slice").count().collect()]
+    assert len(sizes) <= 3 * 20 + 200 and max(sizes) <= 2 * split
+    assert led.where("has_next").where("next_n <> n + 1").count() == 0
+    assert [r.n for r in led.where("NOT has_next").collect()] == [19_999]
+
+
 def test_both_scopes_agree_on_contiguous_tickets(spark):
     rows = []
     for ticket in range(40):
@@ -193,20 +222,23 @@ def test_column_operators(spark):
     assert columns.insert_column(df, 14, "n", F.lit(1)).columns == ["a", "b", "c", "n"]
     assert columns.move_last(df, "a").columns == ["b", "c", "a"]
     assert columns.in_order(df, ["c", "a"]).columns == ["c", "a"]
-    assert columns.with_constants(df, k="0").head().k == "0"
     assert columns.as_text(df.select("c"), "c").head().c == "NaN"
     assert tuple(columns.fill_missing(df).head()) == ("x", "0.0", 0.0)
-    assert columns.text_columns(df) == ["a", "b"]
     swapped = columns.replace_cells(df, {"x": "y"}, {"y": "z"})
     assert swapped.head().a == "z"
+    pairs = spark.createDataFrame([("x", "y"), (None, "q"), ("u", None)], "old string, new string")
+    cells = spark.createDataFrame([("x", "u", 1), ("v", None, 2)], "a string, b string, c int")
+    assert [tuple(r) for r in columns.replace_cells(cells, pairs).collect()] == [("y", None, 1), ("v", None, 2)]
+    assert columns.replace_cells(cells, pairs.limit(0)).collect() == cells.collect()
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        columns.replace_cells(cells, pairs.union(pairs)).collect()
 
 
 def test_unions_and_members(spark):
     a = spark.createDataFrame([("x", 1), ("x", 1)], "k string, v int")
     b = spark.createDataFrame([("y", 2), (None, 3)], "otro string, w int")
-    assert combine.union_as_first([a, b]).columns == ["k", "v"]
     assert combine.union_distinct([a, a]).count() == 1
-    both = combine.union_as_first([a, b])
+    both = combine.union_all([a, b.toDF("k", "v")])
     assert combine.members(both, spark.createDataFrame([("y",), (None,)], "k string"), "k").count() == 1
     assert combine.members(both, spark.createDataFrame([], "k string"), "k").count() == 0
     yes, no = combine.split_by(both, F.col("k") == "x")

@@ -14,7 +14,8 @@ STEPS = {
     "history": f"""
         SELECT CAST(user_id AS VARCHAR) AS id_ticket,
                CASE event_type WHEN 'signup' THEN 'Crear ticket' WHEN 'view' THEN 'En gestión'
-                    WHEN 'click' THEN 'En Validación' ELSE event_type END AS estado,
+                    WHEN 'click' THEN 'En Validación'
+                    WHEN 'error' THEN NULL ELSE event_type END AS estado,
                CASE WHEN event_id % 2 = 0 THEN strftime(ts, '{FORMAT_24H}')
                     ELSE strftime(ts, '{FORMAT_12H}') END AS fecha,
                strftime(date_trunc('week', ts), '%Y%m%d') AS date,
@@ -57,12 +58,14 @@ STEPS = {
         FROM intervals i JOIN order_calendar b ON b.day = begin_day JOIN order_calendar e ON e.day = end_day""",
     # standard rows
     "claims": """
-        SELECT 1::BIGINT AS tipo_reg, p_brand || '-' || p_type AS id, 'alegación' AS nombre,
+        SELECT 1::BIGINT AS tipo_reg,
+               CASE WHEN p_type = 'ECONOMY' THEN p_brand || '-' || p_type ELSE 'nuevo ' || p_name END AS id,
+               'alegación' AS nombre,
                '01/' || lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') || '/2024' AS fecha, '1,9' AS valor,
                '' AS valor_ant, '' AS medida1, '' AS medida2, '' AS medida3,
                p_type AS "aplicación_proceso", '' AS "alegación",
                CAST(p_size % 12 + 1 AS VARCHAR) AS "calibración", 'externo' AS "descripción"
-        FROM part WHERE p_type = 'ECONOMY'
+        FROM part
         UNION ALL
         SELECT 1, 'nuevo ' || c_name, 'alegación',
                '01/' || lpad(CAST(c_nationkey % 12 + 1 AS VARCHAR), 2, '0') || '/2024', '2,5',
@@ -74,7 +77,8 @@ STEPS = {
                CASE WHEN o_orderkey % 51 = 0 THEN NULL WHEN o_orderkey % 50 = 0 THEN 'Todas'
                     ELSE o_orderstatus END AS tipo_solicitud,
                CAST(c_nationkey AS VARCHAR) AS pais, o_totalprice AS importe,
-               CASE WHEN o_orderkey % 40 = 0 THEN -1.0 ELSE lines END::DOUBLE AS volumen_total_casos,
+               CASE WHEN o_orderkey % 37 = 0 THEN 'NaN'::DOUBLE WHEN o_orderkey % 40 = 0 THEN -1.0
+                    ELSE lines END::DOUBLE AS volumen_total_casos,
                CASE WHEN o_orderkey % 30 = 0 THEN -1.0 ELSE returned END::DOUBLE AS total_casos_ok,
                user_name, strftime(o_orderdate, '%Y%m%d') AS date
         FROM orders JOIN customer ON o_custkey = c_custkey
@@ -97,7 +101,7 @@ STEPS = {
         FROM (
             SELECT d.id_ticket, d.proyecto, d.flujo, coalesce(d.tipo_solicitud, '0.0') AS tipo_solicitud,
                    d.pais, d.importe,
-                   CASE WHEN coalesce(d.volumen_total_casos, 0) IN (0, -1) THEN 1.0
+                   CASE WHEN coalesce(d.volumen_total_casos, 0) IN (0, -1) OR isnan(d.volumen_total_casos) THEN 1.0
                         ELSE d.volumen_total_casos END AS volumen_total_casos,
                    CASE WHEN d.total_casos_ok = -1 THEN 1.0 ELSE coalesce(d.total_casos_ok, 0.0) END AS total_casos_ok,
                    coalesce(d.user_name, '0.0') AS user_name, v.* EXCLUDE (id_ticket, date),
@@ -115,6 +119,13 @@ STEPS = {
         FROM customer""",
 }
 
+STEPS["hot"] = """
+        SELECT * REPLACE (CASE WHEN user_id % 10 = 0 THEN user_id ELSE 0 END AS user_id) FROM events"""
+STEPS["history_hot"] = STEPS["history"].replace("FROM events", "FROM hot")
+STEPS["history_sparse"] = "SELECT * REPLACE (row_seq * 10000000 AS row_seq) FROM history"
+STEPS["led_sparse"] = STEPS["led_file"].replace("FROM history", "FROM history_sparse")
+STEPS["led_hot"] = STEPS["led_ticket"].replace("FROM history", "FROM history_hot")
+
 LED_COLUMNS = "row_seq, id_ticket, estado, next_state, next_time, has_next"
 
 
@@ -142,6 +153,8 @@ def _visits(cut):
 
 STEPS["cut_ticket"] = _cut("led_ticket")
 STEPS["cut_file"] = _cut("led_file")
+STEPS["cut_sparse"] = _cut("led_sparse")
+STEPS["cut_hot"] = _cut("led_hot")
 STEPS["visits_ticket"] = _visits("cut_ticket")
 STEPS["visits_file"] = _visits("cut_file")
 STEPS["closing"] = """
@@ -199,14 +212,13 @@ def _categories(seen):
                'Indicador ' || kind AS nombre_indicador, proyecto, proyecto AS id_grupo, flujo, tipo_solicitud,
                lower(proyecto || '_' || flujo || '_' || tipo_solicitud) AS id_pro_flu_sol
         FROM (
-            SELECT DISTINCT proyecto, flujo, 'Todas' AS tipo_solicitud, kind
+            SELECT proyecto, flujo, 'Todas' AS tipo_solicitud, kind
             FROM {seen}, (VALUES ('Q'), ('ANS'), ('KPI')) AS k(kind)
-            WHERE tipo_solicitud IN ('O', 'F', 'P')
-              AND NOT (kind = 'ANS' AND flujo = '5-LOW') AND NOT (kind = 'KPI' AND flujo = 'Flujo 0')
-            UNION ALL
-            SELECT DISTINCT proyecto, flujo, tipo_solicitud,
+            UNION
+            SELECT proyecto, flujo, coalesce(tipo_solicitud, 'Sin tipo'),
                    CASE tipo_solicitud WHEN 'O' THEN 'Q' WHEN 'F' THEN 'ANS' ELSE 'KPI' END
-            FROM {seen} WHERE tipo_solicitud IN ('O', 'F', 'P'))"""
+            FROM {seen})
+        WHERE NOT (tipo_solicitud = 'Todas' AND (kind, flujo) IN (('ANS', '5-LOW'), ('KPI', 'Flujo 0')))"""
 
 
 STEPS["order_categories"] = _categories("order_desc")
@@ -331,9 +343,9 @@ REPORTED = (
 )
 
 
-def _detail(visits):
+def _detail(visits, more=""):
     return f"""
-        SELECT id_ticket, estado, fecha, date AS date_particion,
+        SELECT {more} id_ticket, estado, fecha, date AS date_particion,
                CASE WHEN has_next = 0 THEN 'Nan' ELSE next_state END AS "Estadofinal",
                CASE WHEN has_next = 0 THEN 'Nan' ELSE next_time END AS "FechaFinal",
                coalesce(strftime(end_day, '%Y%m%d'), '0') AS date, CAST(off_days AS VARCHAR) AS dias_festivos,
@@ -383,6 +395,12 @@ ORACLES = {
     "next_state_file_order": _with(
         f"SELECT {LED_COLUMNS} FROM cut_file", "history", "led_file", "cut_file"
     ),
+    "next_state_sparse": _with(
+        f"SELECT {LED_COLUMNS} FROM cut_sparse", "history", "history_sparse", "led_sparse", "cut_sparse"
+    ),
+    "next_state_hot": _with(f"SELECT {LED_COLUMNS} FROM cut_hot", "hot", "history_hot", "led_hot", "cut_hot"),
+    # the rows of the given file lie in the order of event_id
+    "state_detail_numbered": _with(_detail("visits_file", "row_seq AS event_id,"), *VISITED_FILE),
     "state_durations": _with(
         """SELECT row_seq, CAST(CAST(start_ts AS DATE) AS VARCHAR) AS start_day,
                   CAST(end_day AS VARCHAR) AS end_day, seconds, off_days FROM visits_ticket""",
@@ -443,6 +461,10 @@ ORACLES = {
         SELECT n_nationkey, n_regionkey,
                CASE WHEN n_name IN ('NATION_1', 'NATION_2') THEN 'NATION_3' ELSE n_name END AS n_name
         FROM nation""",
+    "cell_replacement_by_table": """
+        SELECT s_suppkey, s_name,
+               CASE WHEN n_regionkey < 3 THEN 'región ' || CAST(n_regionkey AS VARCHAR) ELSE n_name END AS n_name
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "label_split": _with(
         """SELECT tipo_indicador, CASE WHEN tipo_solicitud = 'Todas' THEN 1 ELSE 2 END AS branch,
                   proyecto, flujo, tipo_solicitud FROM order_categories""",
@@ -465,7 +487,7 @@ ORACLES = {
     ),
     "fill_zero_option": _with(
         """SELECT proyecto, flujo, tipo_solicitud, date[1:6] AS date,
-                  sum(coalesce(volumen_total_casos, 0.0)) AS volumen_total_casos,
+                  sum(CASE WHEN isnan(volumen_total_casos) THEN 0.0 ELSE coalesce(volumen_total_casos, 0.0) END) AS volumen_total_casos,
                   sum(coalesce(TRY_CAST(user_name AS DOUBLE), 0.0)) AS total_tiempo,
                   sum(coalesce(total_casos_ok, 0.0)) AS sum_casos_ok
            FROM order_desc GROUP BY ALL""",
@@ -491,6 +513,12 @@ ORACLES = {
         *FED,
     ),
     "landing_union": _with("SELECT DISTINCT * FROM landed", "landed"),
+    "empty_landing": """
+        SELECT 'lnd_narrow' AS table_name, CAST(12 AS INTEGER) AS columns, false AS taken,
+               count(*) AS standard_rows FROM nation WHERE false""",
+    "nan_text_zero": """
+        SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN '0.0' ELSE CAST(p_retailprice AS VARCHAR) END AS valor
+        FROM part""",
     "distinct_landed": _with(
         'SELECT DISTINCT * REPLACE (CAST("calibración" AS BIGINT) AS "calibración") FROM landed', "landed"
     ),

@@ -14,7 +14,7 @@ from deskpulse.operators.counts import row_counts
 from deskpulse.operators.dedupe import distinct_rows, earliest_per_key
 from deskpulse.plans import categories as cats
 from deskpulse.plans import durations, indicators, jobs, landing, publish, sla, tickets
-from deskpulse.sources.tables import read_table, stage, work_folder
+from deskpulse.sources.tables import read_history, read_table, stage, work_folder
 from deskpulse.streaming import incremental
 from workload import tables as t
 
@@ -58,6 +58,37 @@ def next_state_file_order(spark, sf):
     return _next_state(spark, sf, "file")
 
 
+SPARSE = 10_000_000
+
+
+def next_state_sparse(spark, sf):
+    """The next row of the log, with row numbers ten million apart and small slices."""
+    spread = t.history(spark, sf).withColumn("row_seq", F.col("row_seq") * SPARSE)
+    led = durations.with_next_state(spread, "file", split_rows=1000)
+    return led.select(
+        "row_seq", "id_ticket", "estado", "next_state", "next_time", F.col("has_next").cast("int").alias("has_next")
+    )
+
+
+def next_state_hot(spark, sf):
+    """The next row of a ticket, with nine of ten events on one ticket and small slices."""
+    user = F.when(F.col("user_id") % 10 == 0, F.col("user_id")).otherwise(0)
+    events = t.table(spark, sf, "events").withColumn("user_id", user)
+    led = durations.with_next_state(t.history_of(events), "ticket", split_rows=1000)
+    return led.select(
+        "row_seq", "id_ticket", "estado", "next_state", "next_time", F.col("has_next").cast("int").alias("has_next")
+    )
+
+
+def state_detail_numbered(spark, sf):
+    """Detail in file order with row numbers taken from the file; the event id is kept."""
+    numbered = read_history(spark, f"{sf}/events.parquet")
+    history = t.history_of(numbered, F.col("row_seq"), "event_id")
+    return durations.state_detail(
+        history, t.holidays(spark, sf), keep=["event_id"], years=t.EVENT_YEARS, scope="file"
+    )
+
+
 def _visits(spark, sf, **options):
     return durations.visits(
         t.history(spark, sf), t.holidays(spark, sf), years=t.EVENT_YEARS, **options
@@ -197,6 +228,16 @@ def cell_replacement(spark, sf):
     )
 
 
+def cell_replacement_by_table(spark, sf):
+    """Suppliers with the names of their nations replaced by a mapping table."""
+    nation = t.table(spark, sf, "nation")
+    mapping = nation.filter("n_regionkey < 3").select(
+        F.col("n_name").alias("old"), F.concat(F.lit("región "), F.col("n_regionkey").cast("string")).alias("new")
+    )
+    supplied = t.table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    return replace_cells(supplied.select("s_suppkey", "s_name", "n_name"), mapping)
+
+
 def label_split(spark, sf):
     raw = cats.repaired_categories(_categories(spark, sf))
     parts = []
@@ -293,6 +334,22 @@ def landing_union(spark, sf):
     return standard
 
 
+def empty_landing(spark, sf):
+    """Only a table that does not fit: an empty standard table, and the report."""
+    narrow = {"lnd_narrow": t.landing_tables(spark, sf)["lnd_narrow"]}
+    standard, report = landing.standardise(narrow)
+    standard_rows = standard.agg(F.count(F.lit(1)).alias("standard_rows"))
+    return report.withColumn("standard_rows", standard_rows.scalar())
+
+
+def nan_text_zero(spark, sf):
+    """Prices as texts, some of them NaN, which counts as zero."""
+    price = F.when(F.col("p_size") % 7 == 0, float("nan")).otherwise(F.col("p_retailprice"))
+    parts = t.table(spark, sf, "part").select("p_partkey", price.alias("valor"))
+    spelled = text.with_float_texts(parts, "valor")
+    return spelled.withColumn("valor", text.nan_text_as_zero("valor"))
+
+
 def distinct_landed(spark, sf):
     return distinct_rows(t.landed(spark, sf))
 
@@ -553,12 +610,15 @@ QUERIES = {
         holiday_year_pin,
         next_state,
         next_state_file_order,
+        next_state_sparse,
+        next_state_hot,
         state_durations,
         working_states,
         nonbusiness_days,
         nonbusiness_days_calendar,
         state_detail,
         state_detail_file_order,
+        state_detail_numbered,
         closing_date,
         ticket_sla,
         verdict_table,
@@ -569,6 +629,7 @@ QUERIES = {
         month_bucket,
         synonym_repair,
         cell_replacement,
+        cell_replacement_by_table,
         label_split,
         flow_membership,
         rollup_all_requests,
@@ -583,9 +644,11 @@ QUERIES = {
         indicator_totals_ans,
         indicator_totals_kpi,
         landing_union,
+        empty_landing,
         distinct_landed,
         decimal_comma,
         decimal_comma_plain,
+        nan_text_zero,
         primary_output,
         override_output,
         passthrough_output,
