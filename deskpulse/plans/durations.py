@@ -10,6 +10,19 @@ from deskpulse.schemas import CREATE_STATES, DETAIL_COLUMNS, HOLIDAY_YEARS, NO_N
 from deskpulse.session import require_utc
 
 HISTORY_COLUMNS = ("id_ticket", "estado", "fecha", "date", "row_seq")
+# What the detail and verdict tables are made of.
+VISIT_COLUMNS = (
+    "id_ticket",
+    "estado",
+    "fecha",
+    "date",
+    "has_next",
+    "next_state",
+    "next_time",
+    "seconds",
+    "off_days",
+    "end_day",
+)
 
 
 def with_next_state(

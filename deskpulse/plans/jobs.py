@@ -7,7 +7,7 @@ empty inputs and the number of rows written.
 from dataclasses import dataclass, field
 
 from deskpulse.operators.counts import counted, empty_tables
-from deskpulse.plans.durations import detail_of, visits
+from deskpulse.plans.durations import VISIT_COLUMNS, detail_of, visits
 from deskpulse.plans.indicators import indicators
 from deskpulse.plans.landing import standardise
 from deskpulse.plans.publish import primary_output, publish
@@ -48,11 +48,12 @@ def run_states(history, holidays, detail_path, verdict_path, sla_days=SLA_DAYS,
     """
     report, go = _guarded({"history": history})
     if go:
-        visited, staged = stage(
-            visits(history, holidays, **(options or {})).drop("_group", "_slice"), "visits"
-        )
+        options = dict(options or {})
+        keep = options.get("keep", ())
+        visited = visits(history, holidays, **options).select(*VISIT_COLUMNS, *keep)
+        visited, staged = stage(visited, "visits")
         try:
-            _write(detail_of(visited), detail_path, report, **sink)
+            _write(detail_of(visited, keep), detail_path, report, **sink)
             _write(verdict_table(verdict_of(visited, sla_days)), verdict_path, report, **sink)
         finally:
             unstage(history.sparkSession, staged)

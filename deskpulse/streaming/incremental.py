@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from deskpulse.plans import indicators as computing
 from deskpulse.plans import landing, publish, sla, tickets
-from deskpulse.plans.durations import detail_of, state_detail, visits
+from deskpulse.plans.durations import VISIT_COLUMNS, detail_of, state_detail, visits
 from deskpulse.schemas import SLA_DAYS
 from deskpulse.sources.tables import (
     children,
@@ -198,7 +198,17 @@ def read_runs(spark, path, schema=None):
 # --- the six jobs over new records ------------------------------------------------------
 
 
-def append_states(source, holidays, checkpoint, detail_path, verdict_path, sla_days=SLA_DAYS, stream="main", replace=False, **options):
+def append_states(
+    source,
+    holidays,
+    checkpoint,
+    detail_path,
+    verdict_path,
+    sla_days=SLA_DAYS,
+    stream="main",
+    replace=False,
+    **options,
+):
     """First job: detail and verdicts of the new records, both tables from one batch.
 
     A ticket is computed from the records of the batch alone.
@@ -208,7 +218,8 @@ def append_states(source, holidays, checkpoint, detail_path, verdict_path, sla_d
         claim(spark, checkpoint, path, stream, replace)
 
     def write(batch, batch_id):
-        visited, staged = stage(visits(batch, holidays, **options).drop("_group", "_slice"), "visits")
+        visited = visits(batch, holidays, **options).select(*VISIT_COLUMNS)
+        visited, staged = stage(visited, "visits")
         try:
             for table, path in (
                 (detail_of(visited), detail_path),
