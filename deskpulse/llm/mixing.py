@@ -21,7 +21,7 @@ SHARE = 1.5
 MOST = 2.0
 SEED = 42
 # Documents of one group of the first level, about, and children of a tree node.
-GROUP = 500
+GROUP = 250
 FAN = 64
 # Size classes for each doubling of the size.
 CLASSES = 8
