@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deskpulse.llm.common import column
+from deskpulse.llm.common import checkpointed, column
 
 CANDIDATE = re.compile(r"(?<![\w+/=.~-])[A-Za-z0-9_+/~-][A-Za-z0-9_+/.~-]{13,}[A-Za-z0-9_+/~-]={0,2}(?!\w)")
 # Words around a finding that speak for, and against, a secret.
@@ -35,8 +35,9 @@ SAMPLE_CHARACTERS = 20_000
 TREES = 30
 DEPTH = 8
 THRESHOLD = 0.5
-WORD = re.compile(r"[^\W\d_]{4,}")
+WORD = r"\p{L}{4,}"
 DICTIONARY = 20_000
+PAIRS = 50_000
 MASK = "[SECRET]"
 
 
@@ -45,22 +46,16 @@ def _kind(c):
 
 
 class Language:
-    """What a sample of texts says about words and about which letter follows which."""
-
-    def __init__(self, texts):
-        counts, pairs = Counter(), Counter()
-        for text in texts:
-            words = [w.lower() for w in WORD.findall(text)]
-            counts.update(words)
-        for word, n in counts.items():
-            for pair in zip(word, word[1:]):
-                pairs[pair] += n
+    """Frequent words, and how surprising a letter is after another, in bits."""
+
+    def __init__(self, words, pairs):
+        self.words = set(words)
         firsts = Counter()
-        for (a, _), n in pairs.items():
-            firsts[a] += n
-        frequent = sorted(counts, key=lambda w: (-counts[w], w))[:DICTIONARY]
-        self.words = {w for w in frequent if counts[w] > 1}
-        self.surprise = {p: -np.log2((n + 0.5) / (firsts[p[0]] + 20.0)) for p, n in pairs.items()}
+        for pair, n in pairs.items():
+            firsts[pair[0]] += n
+        self.surprise = {
+            (p[0], p[1]): float(-np.log2((n + 0.5) / (firsts[p[0]] + 20.0))) for p, n in pairs.items()
+        }
 
     def transitions(self, text):
         """Mean surprise of a character by the one before, in bits."""
@@ -256,25 +251,46 @@ class Scanner:
         return result
 
 
-def fit_language(documents, text_col="text", sample=SAMPLE_DOCUMENTS):
-    """(texts, Language) of about ``sample`` documents, chosen by a hash of their texts."""
+def corpus_language(documents, text_col="text"):
+    """The Language of all documents, counted in Spark.
+
+    Only the ``DICTIONARY`` most frequent words and the ``PAIRS`` most frequent pairs of
+    letters come to the driver; rarer pairs are as surprising as unseen ones.
+    """
+    words = F.regexp_extract_all(F.lower(column(text_col)), F.lit(WORD), F.lit(0))
+    words = documents.select(F.explode(words).alias("word"))
+    counts = checkpointed(words.groupBy("word").agg(F.count("*").alias("n")))
+    frequent = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(DICTIONARY)
+    starts = F.sequence(F.lit(1), F.char_length("word") - 1)
+    pairs = F.transform(starts, lambda i: F.substr(F.col("word"), i, F.lit(2)))
+    pairs = counts.select("n", F.explode(pairs).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = pairs.orderBy(F.desc("n"), "pair").limit(PAIRS)
+    return Language(
+        [r["word"] for r in frequent.collect()], {r["pair"]: r["n"] for r in pairs.collect()}
+    )
+
+
+def sample_texts(documents, text_col="text", sample=SAMPLE_DOCUMENTS):
+    """Different texts of about ``sample`` documents, chosen by a hash of the texts.
+
+    Labelled findings are planted into them; of a very long one a part is enough for that.
+    """
     texts = documents.select(column(text_col).alias("text")).where("text <> ''")
     every = max(1, documents.count() // sample)
     chosen = texts.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
-    # copies of one text are one choice of the hash; each counts once
     part = F.substring("text", 1, SAMPLE_CHARACTERS)
-    found = sorted(r[0] for r in chosen.select(part).distinct().toLocalIterator())
-    return found, Language(found)
+    return sorted(r[0] for r in chosen.select(part).distinct().toLocalIterator())
 
 
 def fit(documents, text_col="text", findings=None, sample=SAMPLE_DOCUMENTS, seed=0):
     """A Scanner trained on labelled findings.
 
-    ``findings``: rows of (features, label) of the user's own, added to those drawn from
-    about ``sample`` documents. The scan itself reads all texts whole.
+    ``findings``: rows of (features, label) of the user's own, added to those planted into
+    about ``sample`` documents. Dictionary and letter transitions are those of all
+    documents, and the scan itself reads all texts whole.
     """
     spark = documents.sparkSession
-    texts, language = fit_language(documents, text_col, sample)
+    language, texts = corpus_language(documents, text_col), sample_texts(documents, text_col, sample)
     rows = labelled_findings(texts or [""] * 200, language, seed) + list(findings or ())
     frame = spark.createDataFrame(
         [([float(v) for v in x], y) for x, y in rows], "x array<double>, label double"

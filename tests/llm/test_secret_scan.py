@@ -13,14 +13,23 @@ def scanner(spark, sf_dir):
 
 
 def test_held_out_findings(spark, sf_dir, scanner):
-    texts, language = secret_scan.fit_language(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    rows = secret_scan.labelled_findings(texts, language, seed="held out")
+    texts = secret_scan.sample_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    rows = secret_scan.labelled_findings(texts, scanner.language, seed="held out")
     x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
     called = scanner.forest.score(x) >= secret_scan.THRESHOLD
     assert (called[y == 1]).mean() > 0.95
     assert (called[y == 0]).mean() < 0.03
 
 
+def test_language_counts_all_documents(spark):
+    texts = ["abcd abcd ABCD efgh", "efgh ß1 xyzw", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    language = secret_scan.corpus_language(df)
+    assert language.words == {"abcd", "efgh"}
+    assert language.surprise["a", "b"] == pytest.approx(-np.log2(3.5 / 23))
+    assert set(language.surprise) == {tuple(p) for p in ("ab", "bc", "cd", "ef", "fg", "gh", "xy", "yz", "zw")}
+
+
 def test_forest_votes_as_sparks_trees_do(spark):
     rng = np.random.default_rng(0)
     x = rng.random((300, 4))
