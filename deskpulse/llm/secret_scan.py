@@ -251,23 +251,38 @@ class Scanner:
         return result
 
 
+def _most_frequent(counts, most):
+    """The rows with the largest ``n``, ``most`` of them at most.
+
+    A histogram on a logarithmic grid (at most 1,024 steps) tells from which step on rows
+    are few enough; no task sends rows below it.
+    """
+    step = F.floor(F.log2("n") * 16)
+    sizes = {r["step"]: r["count"] for r in counts.groupBy(step.alias("step")).count().collect()}
+    least, held = 1 << 20, 0
+    for at in sorted(sizes, reverse=True):
+        held += sizes[at]
+        if held > most:
+            break
+        least = at
+    return counts.where(step >= least).collect()
+
+
 def corpus_language(documents, text_col="text"):
     """The Language of all documents, counted in Spark.
 
-    Only the ``DICTIONARY`` most frequent words and the ``PAIRS`` most frequent pairs of
-    letters come to the driver; rarer pairs are as surprising as unseen ones.
+    Only frequent words and pairs of letters, ``DICTIONARY`` and ``PAIRS`` of them at
+    most, come to the driver; rarer pairs are as surprising as unseen ones.
     """
     words = F.regexp_extract_all(F.lower(column(text_col)), F.lit(WORD), F.lit(0))
     words = documents.select(F.explode(words).alias("word"))
     counts = checkpointed(words.groupBy("word").agg(F.count("*").alias("n")))
-    frequent = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(DICTIONARY)
+    frequent = _most_frequent(counts.where("n > 1"), DICTIONARY)
     starts = F.sequence(F.lit(1), F.char_length("word") - 1)
     pairs = F.transform(starts, lambda i: F.substr(F.col("word"), i, F.lit(2)))
     pairs = counts.select("n", F.explode(pairs).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n"))
-    pairs = pairs.orderBy(F.desc("n"), "pair").limit(PAIRS)
-    return Language(
-        [r["word"] for r in frequent.collect()], {r["pair"]: r["n"] for r in pairs.collect()}
-    )
+    pairs = _most_frequent(pairs, PAIRS)
+    return Language((r["word"] for r in frequent), {r["pair"]: r["n"] for r in pairs})
 
 
 def sample_texts(documents, text_col="text", sample=SAMPLE_DOCUMENTS):

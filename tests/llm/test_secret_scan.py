@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from deskpulse.llm import secret_scan
 
@@ -30,6 +31,14 @@ def test_language_counts_all_documents(spark):
     assert set(language.surprise) == {tuple(p) for p in ("ab", "bc", "cd", "ef", "fg", "gh", "xy", "yz", "zw")}
 
 
+def test_most_frequent_rows_are_bounded(spark):
+    df = spark.range(1, 1001).select(F.col("id").alias("n"))
+    for most in (0, 1, 50, 999, 1000, 5000):
+        found = sorted(r["n"] for r in secret_scan._most_frequent(df, most))
+        assert len(found) <= most and found == list(range(1001 - len(found), 1001))
+        assert len(found) >= 0.9 * min(most, 1000) - 50
+
+
 def test_forest_votes_as_sparks_trees_do(spark):
     rng = np.random.default_rng(0)
     x = rng.random((300, 4))
