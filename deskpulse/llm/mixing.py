@@ -28,6 +28,8 @@ CLASSES = 8
 # Tables of targets or group counts up to this size are broadcast.
 BROADCAST_ROWS = 100_000
 EPSILON = 1e-9
+# Rows alike are numbered in runs of so many.
+RUN = 10_000
 
 
 def source_targets(sizes, weights=WEIGHTS, share=SHARE, most=MOST):
@@ -127,6 +129,19 @@ def _round(rows, keys, seed, last):
     return checkpointed(rows.groupBy(*keys).applyInArrow(run, schema))
 
 
+def _numbered(sized):
+    """The rows, with ``nth`` telling rows alike apart.
+
+    Rows alike are counted and written out again, so their numbers need no sort and do
+    not depend on the order of rows.
+    """
+    alike = sized.groupBy(*sized.columns).agg(F.count("*").alias("rows"))
+    first = F.explode(F.sequence(F.lit(1).cast("long"), "rows", F.lit(RUN).cast("long")))
+    runs = alike.select(*sized.columns, "rows", first.alias("first"))
+    last = F.least(F.col("rows"), F.col("first") + (RUN - 1))
+    return runs.select(*sized.columns, F.explode(F.sequence("first", last)).alias("nth"))
+
+
 def copies(documents, id_cols=("doc_id",), source_col="source", text_col="text", weights=WEIGHTS,
            share=SHARE, most=MOST, seed=SEED, group=GROUP):
     """Per document: ``size``, ``source_size``, ``target`` (its source's), ``copies``, ``taken``.
@@ -140,13 +155,13 @@ def copies(documents, id_cols=("doc_id",), source_col="source", text_col="text",
     text = F.coalesce(column(text_col), F.lit(""))
     # ids get names of their own: an id column may have the name of a result column
     names = [f"key{i}" for i in range(len(id_cols))]
-    sized = checkpointed(
-        documents.select(
-            *[column(c).alias(n) for c, n in zip(id_cols, names)],
-            column(source_col).alias("source"),
-            F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
-        )
+    sized = documents.select(
+        *[column(c).alias(n) for c, n in zip(id_cols, names)],
+        column(source_col).alias("source"),
+        F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
     )
+    # many rows may share an id, or have none: their number spreads them over the groups
+    sized = checkpointed(_numbered(sized))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = checkpointed(source_targets(sizes, weights, share, most))
     near = _small(targets.withColumnRenamed("source", "of"))
@@ -162,7 +177,7 @@ def copies(documents, id_cols=("doc_id",), source_col="source", text_col="text",
         .withColumn("chance", F.when(F.col("chance") > EPSILON, F.col("chance")))
         .withColumn("extra", F.lit(None).cast("int"))
         .withColumn("class", F.floor(F.log2("size") * CLASSES).cast("int"))
-        .withColumn("tie", F.xxhash64(*names, F.lit(seed)))
+        .withColumn("tie", F.xxhash64(*names, "nth", F.lit(seed)))
     )
     open_rows = wanted.where("chance is not null")
     counts = checkpointed(

@@ -103,3 +103,32 @@ def test_no_rows_and_no_words(spark):
     assert [(r["target"], r["taken"]) for r in mixing.copies(df).collect()] == [(0.0, 0), (0.0, 0)]
     assert mixing.copies(df.where("false")).collect() == []
     assert mixing.mixed(df.where("false")).collect() == []
+
+
+def test_rows_that_share_an_id_are_spread(spark, monkeypatch):
+    """A third of the rows have no id, one size and one source; no group takes them all."""
+    monkeypatch.setattr(mixing, "RUN", 7)
+    sized = spark.createDataFrame(
+        [(None, "a", 5)] * 400 + [(i, "a", 5) for i in range(800)], "key0 long, source string, size long"
+    )
+    numbered = mixing._numbered(sized)
+    assert numbered.count() == 1200
+    assert sorted(r["nth"] for r in numbered.where("key0 is null").collect()) == list(range(1, 401))
+
+    seen, whole = [], mixing._round
+
+    def spy(rows, keys, seed, last):
+        seen.append(rows.groupBy(*keys).count().agg({"count": "max"}).first()[0])
+        return whole(rows, keys, seed, last)
+
+    monkeypatch.setattr(mixing, "_round", spy)
+    rows = [(None, "a", "b c d e f")] * 400 + [(i, "b", "b c d e f") for i in range(800)]
+    documents = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.copies(documents, group=50).collect()
+    assert max(n or 0 for n in seen) <= 150 and len(got) == 1200
+    by_source = {}
+    for r in got:
+        key = None if r["doc_id"] is None else "b"
+        by_source[key] = by_source.get(key, 0) + r["taken"]
+    targets = plain_targets({"a": 2000, "b": 4000})
+    assert abs(by_source[None] - targets["a"]) <= 5 and abs(by_source["b"] - targets["b"]) <= 5
