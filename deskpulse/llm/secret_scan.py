@@ -1,8 +1,9 @@
 """Secret scans with a random forest that removes false findings.
 
-A broad pattern finds candidates in whole texts. A forest, trained on labelled findings,
-decides from a candidate's length, character transitions, dictionary coverage, path parts
-and neighbouring words which of them are secrets.
+Candidates in whole texts are long runs of key characters, parts of paths, and whatever is
+assigned to a secret word, however short. A forest, trained on labelled findings, decides
+from a candidate's length, character transitions, dictionary coverage, path parts and
+neighbouring words which of them are secrets.
 """
 
 import random
@@ -19,7 +20,21 @@ from pyspark.sql import types as T
 
 from deskpulse.llm.common import checkpointed, column
 
-CANDIDATE = re.compile(r"(?<![\w+/=.~-])[A-Za-z0-9_+/~-][A-Za-z0-9_+/.~-]{13,}[A-Za-z0-9_+/~-]={0,2}(?!\w)")
+# Runs of key characters. Only these bound a run, so "=", other letters and dots may touch it.
+RUN = re.compile(r"(?<![A-Za-z0-9_+/~-])[A-Za-z0-9_+/~-][A-Za-z0-9_+/.~-]{13,}[A-Za-z0-9_+/~-](?:={1,2}(?![A-Za-z0-9_=]))?")
+# A part of a run between slashes.
+PART = re.compile(r"[^/]{15,}")
+# Values of any length assigned to a secret word: in quotes, or up to white space, a quote
+# or the next name=.
+ASSIGNED = re.compile(
+    r"""(?:token|secret|pass(?:w|phrase|(?![a-z]))|pwd|api.?key|access.?key|auth|bearer|credential|private)[A-Za-z0-9_.-]{0,40}
+    (?:["'`]?\]?\s{0,4}(?::=|=>|[:=])\s{0,4}(?:(?:bearer|basic)\s{1,4})?|\s{1,4}is\s{1,4}|\s{1,4}(?=["'`])|(?<=bearer)\s{1,4})
+    (?:"(?P<double>[^"\n]+)"|'(?P<single>[^'\n]+)'|`(?P<back>[^`\n]+)`|["'`]?(?P<bare>(?:(?![&,;][A-Za-z0-9_.-]+=)[^\s"'`])+))""",
+    re.I | re.X,
+)
+# A password in front of the host of a url.
+USERINFO = re.compile(r"://[^\s/:@]*:([^\s/@]+)@")
+CLOSING = ".,;:)]}>"
 # Words around a finding that speak for, and against, a secret.
 SECRET_WORDS = re.compile(r"token|secret|passw|passphrase|pwd|api.?key|access.?key|auth|bearer|credential|private", re.I)
 OTHER_WORDS = re.compile(r"sha\d*|md5|digest|hash|commit|checksum|etag|uuid|guid|version|build|href|src|file|example|https?:", re.I)
@@ -28,6 +43,7 @@ AROUND = 40
 FEATURES = (
     "length", "digits", "capitals", "turns", "entropy", "surprise", "dictionary", "slashes",
     "separators", "hex", "secret_words", "other_words", "assigned", "quoted", "filler",
+    "symbols", "userinfo",
 )
 # Documents that labelled findings are drawn from, about, and findings of each.
 SAMPLE_DOCUMENTS = 2000
@@ -86,7 +102,7 @@ def features(text, start, end, language):
         float(n),
         kinds.count("d") / n,
         kinds.count("u") / n,
-        sum(a != b for a, b in zip(kinds, kinds[1:])) / (n - 1),
+        sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1),
         float(-(counts * np.log2(counts)).sum()),
         language.transitions(found),
         language.coverage(found),
@@ -98,11 +114,45 @@ def features(text, start, end, language):
         float(bool(AFTER_ASSIGNMENT.search(before))),
         float(before[-1:] in tuple("\"'`") and after[:1] in tuple("\"'`")),
         float(max(counts)),
+        sum(not c.isalnum() and c not in "-_.~/+= " for c in found) / n,
+        float(after[:1] == "@" and before[-1:] == ":"),
     )
 
 
 def candidates(text):
-    return [m.span() for m in CANDIDATE.finditer(text)]
+    """Spans of a text that may be secrets, in order; they may overlap."""
+    spans = set()
+    for m in RUN.finditer(text):
+        spans.add(m.span())
+        if "/" in m.group():
+            spans.update(p.span() for p in PART.finditer(text, *m.span()))
+    for m in ASSIGNED.finditer(text):
+        start, end = m.span(m.lastgroup)
+        if m.lastgroup == "bare":
+            end = start + len(text[start:end].rstrip(CLOSING))
+        if start < end:
+            spans.add((start, end))
+    spans.update(m.span(1) for m in USERINFO.finditer(text))
+    return sorted(spans)
+
+
+def nearest_candidate(spans, start, end):
+    """The span that shares most with another one, or None."""
+    shared = [(min(s[1], end) - max(s[0], start), s[0] - s[1], s) for s in spans]
+    shared = [s for s in shared if s[0] > 0]
+    return max(shared)[2] if shared else None
+
+
+def joined(found):
+    """(start, end, score) in order, overlapping ones as one with the highest score."""
+    result = []
+    for start, end, score in sorted(found):
+        if result and start < result[-1][1]:
+            low, high, most = result[-1]
+            result[-1] = (low, max(high, end), max(most, score))
+        else:
+            result.append((start, end, score))
+    return result
 
 
 def planted(text, rng, language_words):
@@ -121,13 +171,17 @@ def planted(text, rng, language_words):
                 lambda: rng.choice(("ghp_", "gho_", "glpat-", "npm_")) + pick(alnum, 36),
                 lambda: rng.choice(("sk_live_", "rk_live_", "sk-")) + pick(alnum, 32),
                 lambda: "eyJ" + pick(alnum, 24) + ".eyJ" + pick(alnum, 40) + "." + pick(alnum + "-_", 43),
+                lambda: pick(alnum + "!@#$%^*", rng.randint(8, 24)) + rng.choice("!@#$%^*"),
+                lambda: rng.choice(words).capitalize() + pick(string.digits, rng.randint(1, 4)) + rng.choice("!@#$%^*"),
+                lambda: pick(alnum, rng.randint(8, 14)),
             )
         )()
         name = rng.choice(
-            ("token", "secret", "password", "api_key", "apikey", "access_key", "auth", "client_secret", "passwd")
+            ("token", "secret", "password", "api_key", "apikey", "access_key", "auth", "client_secret", "passwd", "AWS_SECRET_ACCESS_KEY")
         )
         frame = rng.choice(
-            ('{k} = "{v}"', "{k}: {v}", "{k}={v}", '"{k}": "{v}"', "{k} '{v}'", "Bearer {v}", "{k} is {v}")
+            ('{k} = "{v}"', "{k}: {v}", "{k}={v}", '"{k}": "{v}"', "{k} '{v}'", "Bearer {v}", "{k} is {v}", "https://x.org/a?access_{k}={v}", "https://x.org/a?{k}={v}&page=2", "export {k}={v}")
+            + (() if re.search("[/@#?]", value) else ("db://user:{v}@host.org/x",))
         )
     else:
         value = rng.choice(
@@ -142,6 +196,9 @@ def planted(text, rng, language_words):
                 lambda: rng.choice(("your", "example", "insert", "replace")) + "_" + rng.choice(("token", "password", "api_key")) + "_here",
                 lambda: "".join(words[:3]),
                 lambda: pick(string.digits, rng.randint(16, 20)),
+                lambda: words[0] + rng.choice(("", ".", ",", "()")),
+                lambda: " ".join(words[: rng.randint(2, 6)]),
+                lambda: rng.choice(("true", "false", "null", "None", "***", "<token>", "${TOKEN}", "required", "1", "42", "3600")),
             )
         )()
         if re.fullmatch(r"[0-9a-f-]{30,}", value):
@@ -149,7 +206,7 @@ def planted(text, rng, language_words):
             frame = rng.choice(("{k} {v}", "{k}: {v}", '{k}="{v}"', "{k}:{v}", "https://{k}.org/{v}"))
         else:
             name = rng.choice(("token", "password", "file", "see", "the", "version", words[5]))
-            frame = rng.choice(("{k} = {v}", "{k} {v}", '{k}: "{v}"', "{v}", "{k}/{v}"))
+            frame = rng.choice(("{k} = {v}", "{k}={v}", "{k}: {v}", "{k} is {v}", "{k} {v}", '{k}: "{v}"', "{v}", "{k}/{v}", "https://x.org/{v}", "https://x.org/a?{k}={v}"))
     at = rng.randrange(len(text) + 1)
     prefix = text[:at] + " " + frame.split("{v}")[0].format(k=name)
     whole = prefix + value + frame.split("{v}")[1] + " " + text[at:]
@@ -175,9 +232,9 @@ def labelled_findings(texts, language, seed=0, each=6):
         near = text[: 4 * AROUND]
         for _ in range(each):
             whole, start, end, secret = planted(near, rng, words)
-            spans = [s for s in candidates(whole) if s[0] < end and s[1] > start]
-            if spans:
-                rows.append((features(whole, *spans[0], language), float(secret)))
+            span = nearest_candidate(candidates(whole), start, end)
+            if span or secret:
+                rows.append((features(whole, *(span or (start, end)), language), float(secret)))
     return rows
 
 
@@ -246,7 +303,7 @@ class Scanner:
             part = scores[at : at + len(own)]
             at += len(own)
             result.append(
-                (len(own), [(*s, float(p)) for s, p in zip(own, part) if p >= threshold])
+                (len(own), joined((*s, float(p)) for s, p in zip(own, part) if p >= threshold))
             )
         return result
 
@@ -322,7 +379,8 @@ FOUND = "n_candidates long, n_secrets long, secrets array<struct<start:int,end:i
 def scan(documents, id_col="doc_id", text_col="text", scanner=None, threshold=THRESHOLD):
     """One row per document: ``n_candidates``, ``n_secrets``, ``secrets``.
 
-    ``secrets`` holds start, end (code points) and score of what the forest calls secret.
+    ``secrets`` holds start, end (code points) and score of what the forest calls secret;
+    overlapping ones are one.
     Null and empty texts have none. Repeated rows are scanned alike, each on its own; an
     empty table gives no rows.
     """

@@ -76,3 +76,50 @@ def test_edges(spark, scanner):
     assert masked[2]["text"] == CLEAN and masked[3]["text"] is None and masked[1]["secrets"] == "x"
     assert secret_scan.scan(df.where("false")).collect() == []
     assert secret_scan.without_secrets(df.where("false")).collect() == []
+
+
+KEY = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+
+
+def test_candidates_of_all_frames():
+    texts = {
+        KEY: ["token={}", "api_key={}", "https://x.org/a?access_token={}", "https://x.org/a?token={}&b=1", "AWS_SECRET_ACCESS_KEY={}",
+              "密钥{}密钥", "é{}ß", "...{}...", "https://x.org/hooks/{}/x", "db://me:{}@host/x", "x={}", "Authorization: Bearer {}"],
+        "hunter2!": ["password={}", "password: {}", '"passwd": "{}",', "PASSWORD = '{}'", "password is {}.", "db://me:{}@host/x", "a?password={}&x=1"],
+        "p@$$ wörd": ['"password": "{}"', "secret='{}'"],
+    }
+    for value, frames in texts.items():
+        for frame in frames:
+            text = "see " + frame.format(value) + " and more"
+            assert value in [text[a:b] for a, b in secret_scan.candidates(text)], text
+
+
+def test_overlapping_findings_are_joined():
+    assert secret_scan.joined([(5, 9, 0.6), (1, 6, 0.9), (9, 12, 0.7)]) == [(1, 9, 0.9), (9, 12, 0.7)]
+
+
+def test_planted_secrets_without_candidate_are_misses(spark, sf_dir, scanner):
+    """A planted secret counts as found only if the scan covers all of it."""
+    texts = secret_scan.sample_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    rng = secret_scan.random.Random("missed")
+    words = sorted(scanner.language.words)
+    found, called, candidates = [], [], []
+    for text in texts * 5:
+        whole, start, end, secret = secret_scan.planted(text[:160], rng, words)
+        _, spans = scanner.scan([whole])[0]
+        if secret:
+            found.append(any(a <= start and b >= end for a, b, _ in spans))
+            candidates.append(any(a <= start and b >= end for a, b in secret_scan.candidates(whole)))
+        else:
+            called.append(any(a < end and b > start for a, b, _ in spans))
+    print(len(found), np.mean(candidates), np.mean(found), np.mean(called))
+    assert np.mean(candidates) > 0.99
+    assert np.mean(found) > 0.95
+    assert np.mean(called) < 0.03
+
+
+def test_assigned_secrets_are_masked(spark, scanner):
+    frames = ["token={}", "api_key={}", "https://x.org/a?access_token={}", "AWS_SECRET_ACCESS_KEY={}"]
+    for frame in frames:
+        (_, spans), = scanner.scan([frame.format(KEY)])
+        assert secret_scan.masked(frame.format(KEY), spans) == frame.format("[SECRET]")
