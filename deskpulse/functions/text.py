@@ -74,7 +74,8 @@ def _spelled(value, plain, digits, power, style):
             F.substring(digits, 1, 1),
             F.when(F.length(digits) > 1, F.concat(F.lit("."), rest)).otherwise(""),
             F.when(power < 0, "e-").otherwise("e+"),
-            F.lpad(F.abs(power).cast("string"), 2, "0"),
+            F.when(F.abs(power) < 10, "0").otherwise(""),
+            F.abs(power).cast("string"),
         )
     laid_out = (
         F.when((power >= least) & (power < 0), small)
@@ -93,16 +94,57 @@ def _spelled(value, plain, digits, power, style):
     )
 
 
+# Doubles of this range are whole numbers which two bigints hold exactly.
+EXACT_FROM, EXACT_TO = float(2**53), 1e27
+SMALLEST_NORMAL = 2.0**-1022
+
+
+def _exact_whole(size):
+    """All digits of a double between EXACT_FROM and EXACT_TO."""
+    upper = F.floor(size / EXACT_FROM)
+    lower = (size - upper * F.lit(EXACT_FROM)).cast("bigint").cast("decimal(19,0)")
+    return upper.cast("decimal(19,0)") * F.lit(2**53).cast("decimal(17,0)") + lower
+
+
+def _shortest(given):
+    """Digits and power of the first one of the shortest number that reads back, or null.
+
+    With ``sure`` digits only the nearest number can read back. With one more the two
+    neighbours are tried, the nearer one first, then the even one. One more always does.
+    """
+    digits, first, sure, size = (given[p] for p in ("digits", "first", "sure", "size"))
+
+    def low(n):
+        return F.substring(digits, F.lit(1), n).try_cast("bigint")
+
+    def up(n):
+        rest = F.substring(digits, n + 1, F.lit(40))
+        return (rest > "5") | ((rest == "5") & (low(n) % 2 == 1))
+
+    def if_read_back(number, n):
+        text = number.cast("string")
+        same = F.concat(text, F.lit("E"), (first - n + 1).cast("string")).try_cast("double") == size
+        return F.when(same, F.struct(text.alias("text"), (first - n + F.length(text)).alias("first")))
+
+    return F.coalesce(
+        if_read_back(low(sure) + up(sure).cast("int"), sure),
+        if_read_back(low(sure + 1) + up(sure + 1).cast("int"), sure + 1),
+        if_read_back(low(sure + 1) + (~up(sure + 1)).cast("int"), sure + 1),
+        if_read_back(low(sure + 2) + up(sure + 2).cast("int"), sure + 2),
+    )
+
+
 def with_float_texts(df, *names, style="python"):
     """Turn double columns into the shortest texts that read back to them.
 
     4.0, 1e-05 or 12345678.0, as Python writes them; style ``spark`` lays them out as a
-    cast does (1.0E-5, 1.2345678E7), ``plain`` never uses an exponent. Beyond 2**53 the last digit may
-    be another one that reads back the same. Each step is a projection of its own, so
-    every part is computed once per row and stays in generated code.
+    cast does (1.0E-5, 1.2345678E7), ``plain`` never uses an exponent. Each step is a
+    projection of its own, so every part is computed once per row.
 
-    The text of the cast gives the digits. Older Java versions spell some doubles with
-    17 digits where 16 read back the same, so the rounded 16 are tried for those.
+    A cast gives digits that read back, but not always the fewest: that depends on the
+    Java version. No two numbers of up to 15 digits read back as one double, so longer
+    digits are rounded to 15, and where that does not read back, to 16 and 17. Large whole
+    numbers start from all their digits, the smallest doubles need fewer than 15.
     """
 
     def step(df, **parts):
@@ -111,44 +153,61 @@ def with_float_texts(df, *names, style="python"):
     def part(name, of):
         return F.col(f"_{of}_{name}")
 
-    def long_digits(n):
-        return F.translate(F.substring_index(F.ltrim(part("plain", n), F.lit("-")), "E", 1), ".", "")
+    def is_exact(n):
+        return (part("size", n) >= EXACT_FROM) & (part("size", n) < EXACT_TO)
+
+    def mantissa(n):
+        return F.substring_index(F.ltrim(part("plain", n), F.lit("-")), "E", 1)
 
-    def decimals(n):
-        mantissa = F.substring_index(part("plain", n), "E", 1)
-        return F.length(mantissa) - F.instr(mantissa, ".")
+    def all_digits(n):
+        return F.when(is_exact(n), _exact_whole(part("size", n)).cast("string")).otherwise(
+            F.translate(mantissa(n), ".", "")
+        )
 
     def exponent(n):
         plain = part("plain", n)
         return F.when(plain.contains("E"), F.substring_index(plain, "E", -1).try_cast("int")).otherwise(0)
 
-    def short_reads_back(n):
-        text = F.concat(part("short", n).cast("string"), F.lit("E"), (part("power", n) + 1).cast("string"))
-        return (part("whole", n) >= 10**16) & (text.try_cast("double") == F.abs(F.col(n)))
+    def first_power(n):
+        """Power of ten of the first digit."""
+        whole = F.length(part("all", n)) - 1
+        return F.when(is_exact(n), whole).otherwise(
+            exponent(n)
+            + F.instr(mantissa(n), ".")
+            - 2
+            - (F.length(part("all", n)) - F.length(F.ltrim(part("all", n), F.lit("0"))))
+        )
+
+    def cut(n, length):
+        return _cut(part("digits", n), part("first", n), length, part("size", n))
+
+    def sure(n):
+        """So many digits tell all doubles of this size from each other."""
+        return F.when(part("size", n) < SMALLEST_NORMAL, part("first", n) + 324).otherwise(15)
+
+    def found(n):
+        """Looked for in a lambda, which keeps the rare search out of the generated code."""
+        given = F.struct(*[part(p, n).alias(p) for p in ("digits", "first", "sure", "size")])
+        long = F.length(part("digits", n)) > part("sure", n)
+        return F.when(long, F.element_at(F.transform(F.array(given), _shortest), 1))
 
     df = df.withColumns({n: F.col(n).cast("double") for n in names})
-    df = step(df, plain=lambda n: F.col(n).cast("string"))
-    df = step(
-        df,
-        whole=lambda n: long_digits(n).try_cast("bigint"),
-        power=lambda n: exponent(n) - decimals(n),
-    )
-    df = step(df, short=lambda n: F.call_function("div", part("whole", n) + 5, F.lit(10)))
-    df = step(df, is_short=short_reads_back)
+    df = step(df, plain=lambda n: F.col(n).cast("string"), size=lambda n: F.abs(F.col(n)))
+    df = step(df, all=all_digits)
     df = step(
         df,
-        text=lambda n: F.when(part("is_short", n), part("short", n)).otherwise(part("whole", n)).cast("string"),
+        digits=lambda n: F.ltrim(F.rtrim(part("all", n), F.lit("0")), F.lit("0")),
+        first=first_power,
     )
+    df = step(df, sure=sure)
+    df = step(df, found=found)
     df = step(
         df,
-        digits=lambda n: F.rtrim(part("text", n), F.lit("0")),
-        first=lambda n: part("power", n)
-        + F.when(part("is_short", n), 1).otherwise(0)
-        + F.length(part("text", n))
-        - 1,
+        text=lambda n: F.coalesce(F.rtrim(part("found", n)["text"], F.lit("0")), part("digits", n)),
+        place=lambda n: F.coalesce(part("found", n)["first"], part("first", n)),
     )
     texts = {
-        n: _spelled(F.col(n), part("plain", n), part("digits", n), part("first", n), style)
+        n: _spelled(F.col(n), part("plain", n), part("text", n), part("place", n), style)
         for n in names
     }
     kept = [c for c in df.columns if not any(c.startswith(f"_{n}_") for n in names)]

@@ -53,6 +53,18 @@ def test_float_text_is_the_shortest(spark):
     assert specials == ["nan", "inf", "-inf", "0.0", "-0.0", None]
 
 
+def test_float_text_of_any_double(spark):
+    rng = np.random.default_rng(4)
+    numbers = rng.integers(0, 1 << 64, 100_000, dtype=np.uint64).view(np.float64)
+    numbers = numbers[np.isfinite(numbers)]
+    whole = rng.integers(1, 10**9, 20_000) * 10.0 ** rng.integers(-20, 25, 20_000)
+    binary = 2.0 ** np.arange(-1074, 1024)
+    numbers = np.concatenate([numbers, whole, binary, np.arange(1, 2000) * 5e-324, 2.0**53 + np.arange(-50, 50)])
+    got = _float_texts(spark, numbers.tolist())
+    wrong = [(n, g) for n, g in zip(numbers.tolist(), got) if g != repr(n)]
+    assert wrong == []
+
+
 def test_ticket_time(spark):
     texts = [
         "01/06/2020 08:00:00 +00:00",
