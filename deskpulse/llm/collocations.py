@@ -152,11 +152,11 @@ def mixed(*numbers):
 
 
 def _lang_number(lang):
-    return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+    return mixed(np.array([xxhash.xxh64_intdigest(lang.encode())], dtype=np.uint64))
 
 
 def _slots(lang, numbers):
-    return (mixed(*numbers) ^ (_lang_number(lang) * _MIX)) >> np.uint64(64 - BITS)
+    return (mixed(*numbers) ^ _lang_number(lang)) >> np.uint64(64 - BITS)
 
 
 def _marking(width):

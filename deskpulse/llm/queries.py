@@ -118,11 +118,11 @@ WITH pieces AS (
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
 ), lists AS (
-  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), w -> w <> '') AS words FROM pieces
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
 ), phrases AS (
-  SELECT lang, unnest(list_transform(range(1, len(words) + 1), i -> words[i:i])) AS phrase FROM lists
-  UNION ALL SELECT lang, unnest(list_transform(range(1, len(words)), i -> words[i:i + 1])) FROM lists
-  UNION ALL SELECT lang, unnest(list_transform(range(1, len(words) - 1), i -> words[i:i + 2])) FROM lists
+  SELECT lang, unnest(list_transform(range(1, len(words) + 1), lambda i: words[i:i])) AS phrase FROM lists
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(words)), lambda i: words[i:i + 1])) FROM lists
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) FROM lists
 ), f AS (
   SELECT lang, phrase, count(*) AS n FROM phrases GROUP BY ALL
 ), totals AS (
@@ -154,8 +154,8 @@ QUALIFY rank <= 2000
 # Sums of products of whole numbers below 2**53 are exact in doubles.
 OP13_SQL = """
 WITH weights AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS w FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 )
 SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.w, c.w) DESC, c.vec_id)::INTEGER AS rank,
   c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
