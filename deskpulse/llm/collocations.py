@@ -36,8 +36,9 @@ SCALE = 1_000_000
 UNKNOWN = "und"
 # One document in so many is sampled, and the least count there for a proposal.
 SAMPLED, LEAST_SAMPLED = 16, 2
-# Bits of a table of proposals, as a power of two: 16 MB, whatever the vocabulary.
-BITS = 27
+# Bits of a table of proposals, as a power of two: eight for each word of the vocabulary,
+# but never more than 16 MB.
+FEWEST_BITS, BITS = 16, 27
 # Words whose numbers a worker remembers, and the longest of them in bytes.
 REMEMBERED, LONGEST = 1 << 19, 64
 # Words passed on, and counted, at once.
@@ -155,11 +156,11 @@ def _lang_number(lang):
     return mixed(np.array([xxhash.xxh64_intdigest(lang.encode())], dtype=np.uint64))
 
 
-def _slots(lang, numbers):
-    return (mixed(*numbers) ^ _lang_number(lang)) >> np.uint64(64 - BITS)
+def _slots(lang, numbers, bits):
+    return (mixed(*numbers) ^ _lang_number(lang)) >> np.uint64(64 - bits)
 
 
-def _marking(width):
+def _marking(width, bits):
     """The 64-bit pieces of a bit table that phrases set."""
 
     def mark(batches):
@@ -169,29 +170,29 @@ def _marking(width):
             numbers = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("a", "b")[:width]]
             for code, lang in enumerate(langs.dictionary.to_pylist()):
                 here = codes == code
-                slots = np.sort(_slots(lang, [x[here] for x in numbers]))
+                slots = np.sort(_slots(lang, [x[here] for x in numbers], bits))
                 at = slots >> np.uint64(6)
                 starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (slots & np.uint64(63)), starts)
+                pieces = np.bitwise_or.reduceat(np.uint64(1) << (slots & np.uint64(63)), starts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(at[starts].astype(np.int64)), pa.array(bits.view(np.int64))], ["at", "bits"]
+                    [pa.array(at[starts].astype(np.int64)), pa.array(pieces.view(np.int64))], ["at", "bits"]
                 )
 
     return mark
 
 
-def proposals(frequent, width):
-    """The bit table of words or pairs: 2**BITS bits, however many they are."""
+def proposals(frequent, width, bits):
+    """The bit table of words or pairs: 2**bits bits, however many they are."""
     parts = ["a", "b"][:width]
-    marked = frequent.select("lang", *[F.col(p).cast("long") for p in parts]).mapInArrow(_marking(width), "at long, bits long")
+    marked = frequent.select("lang", *[F.col(p).cast("long") for p in parts]).mapInArrow(_marking(width, bits), "at long, bits long")
     merged = marked.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    table = np.zeros(1 << (BITS - 6), dtype=np.uint64)
+    table = np.zeros(1 << (bits - 6), dtype=np.uint64)
     table[merged["at"].to_numpy()] = merged["bits"].to_numpy().view(np.uint64)
     return table
 
 
 def _has(table, lang, numbers):
-    slots = _slots(lang, numbers)
+    slots = _slots(lang, numbers, 5 + len(table).bit_length())
     return (table[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -281,41 +282,41 @@ def _passing(known, proposed, widths):
     return count
 
 
-def counts(texts, widths, proposed=(None, None), known=(None, None)):
-    """(lang, a, b, c, n): exact counts of phrases; see ``_passing``."""
-    spark = texts.sparkSession
-    shipped = {}
+def counts(texts, widths, least, proposed=(None, None), known=(None, None)):
+    """(lang, a, b, c, n): exact counts of phrases, ``least`` and more; see ``_passing``."""
+    context = texts.sparkSession.sparkContext
+    shipped = {id(t): context.broadcast(t) for t in (*proposed, *known) if t is not None}
+    counting = _passing([shipped.get(id(t)) for t in known], [shipped.get(id(t)) for t in proposed], widths)
+    found = texts.select("lang", "ids").mapInArrow(counting, PHRASES).groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n"))
+    found = checkpointed(found.where(F.col("n") >= least))
+    for table in shipped.values():
+        table.destroy()
+    return found
 
-    def ship(table):
-        if table is None:
-            return None
-        if id(table) not in shipped:
-            shipped[id(table)] = spark.sparkContext.broadcast(table)
-        return shipped[id(table)]
-
-    counting = _passing([ship(t) for t in known], [ship(t) for t in proposed], widths)
-    return texts.select("lang", "ids").mapInArrow(counting, PHRASES).groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n"))
 
+def frequent_phrases(texts, vocabulary, least=LEAST):
+    """(lang, a, b, c, n) of all phrases of up to three words with ``least`` occurrences.
 
-def frequent_phrases(texts, least=LEAST):
-    """(lang, a, b, c, n) of all phrases of up to three words with ``least`` occurrences."""
+    ``vocabulary``: the number of words, for the size of the bit tables.
+    """
+    bits = min(BITS, max(FEWEST_BITS, (8 * vocabulary).bit_length()))
     sample = texts.where("sampled")
     bar = max(LEAST_SAMPLED, least // SAMPLED)
-    words = proposals(counts(sample, (1,)).where(F.col("n") >= bar), 1)
-    pairs = proposals(counts(sample, (2,), (words, None)).where(F.col("n") >= bar), 2)
+    words = proposals(counts(sample, (1,), bar), 1, bits)
+    pairs = proposals(counts(sample, (2,), bar, (words, None)), 2, bits)
     known, found, widths = (None, None), None, (1, 2, 3)
-    while True:
-        fresh = checkpointed(counts(texts, widths, (words, pairs), known).where(F.col("n") >= least))
+    while widths:
+        fresh = counts(texts, widths, least, (words, pairs), known)
         found = fresh if found is None else found.union(fresh)
         known = (words, pairs)
         # border phrases that are frequent become proposals
         if 1 in widths:
-            words = words | proposals(fresh.where("b IS NULL"), 1)
+            words = words | proposals(fresh.where("b IS NULL"), 1, bits)
         if 2 in widths:
-            pairs = pairs | proposals(fresh.where("b IS NOT NULL AND c IS NULL"), 2)
-        widths = (2,) * (not np.array_equal(words, known[0])) + (3,) * (not np.array_equal(pairs, known[1]) or not np.array_equal(words, known[0]))
-        if not widths:
-            return found
+            pairs = pairs | proposals(fresh.where("b IS NOT NULL AND c IS NULL"), 2, bits)
+        more_words, more_pairs = not np.array_equal(words, known[0]), not np.array_equal(pairs, known[1])
+        widths = (2,) * more_words + (3,) * (more_words or more_pairs)
+    return found
 
 
 # --- scores ----------------------------------------------------------------------------
@@ -385,7 +386,7 @@ def collocations(docs, least=LEAST, top=TOP, share=SHARE, seed=0):
             break
         delete(spark, folder)
         seed += 1
-    found = frequent_phrases(texts, least)
+    found = frequent_phrases(texts, words.count(), least)
     candidates = checkpointed(scored(found, share))
     best_first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("n"))
     # ties stay together here, the spelling decides below
