@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from deskpulse.llm.common import checkpointed, column
+from deskpulse.llm.common import checkpointed, column, small
 
 # Documents of a block and, about, of a shard; queries that meet a shard at once.
 BLOCK, SHARD, PART = 128, 8192, 1024
@@ -297,7 +297,7 @@ def top_k(df, every=50, k=5, id_column="vec_id", vector_column="embedding", scal
     visits = checkpointed(
         started.groupBy("asks", "group").cogroup(grouped.groupBy("asks", "group")).applyInArrow(visit, VISITS)
     )
-    wanted = visits.groupBy("shard").agg(F.ceil(F.count("*") / part).cast("long").alias("parts"))
+    wanted = small(visits.groupBy("shard").agg(F.ceil(F.count("*") / part).cast("long").alias("parts")))
     went = visits.join(wanted, "shard").withColumn("part", F.pmod(F.xxhash64("query_id"), "parts"))
     copies = blocks.join(wanted, "shard").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     away = (
