@@ -40,9 +40,9 @@ SAMPLED, LEAST_SAMPLED = 16, 2
 # but never more than 16 MB.
 FEWEST_BITS, BITS = 16, 27
 # Words whose numbers a worker remembers, and the longest of them in bytes.
-REMEMBERED, LONGEST = 1 << 19, 64
-# Words passed on, and counted, at once.
-ENCODED_AT_ONCE, COUNTED_AT_ONCE = 1_000_000, 3_000_000
+REMEMBERED, LONGEST = 1 << 18, 64
+# Words passed on, and counted, at once, and rows of counts.
+ENCODED_AT_ONCE, COUNTED_AT_ONCE, ROWS_AT_ONCE = 500_000, 1_500_000, 1 << 16
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 MARK = b"\xff"  # no byte of UTF-8
@@ -238,7 +238,8 @@ def _passing(known, proposed, widths):
         waiting, size = {}, 0
 
         def passed_on():
-            for lang, lists in waiting.items():
+            while waiting:
+                lang, lists = waiting.popitem()
                 ids = np.concatenate(lists)
                 if len(ids) < 3:
                     continue
@@ -253,13 +254,16 @@ def _passing(known, proposed, widths):
                     if not len(picked[0]):
                         continue
                     found, times = _counted(picked)
-                    none = pa.nulls(len(times), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang]).take(pa.array(np.zeros(len(times), dtype=np.int32)))]
-                        + [pa.array(found[i]) if i < width else none for i in range(3)]
-                        + [pa.array(times.astype(np.int64))],
-                        ["lang", "a", "b", "c", "n"],
-                    )
+                    for start in range(0, len(times), ROWS_AT_ONCE):
+                        some = slice(start, start + ROWS_AT_ONCE)
+                        size = len(times[some])
+                        none = pa.nulls(size, pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([lang]).take(pa.array(np.zeros(size, dtype=np.int32)))]
+                            + [pa.array(found[i][some]) if i < width else none for i in range(3)]
+                            + [pa.array(times[some].astype(np.int64))],
+                            ["lang", "a", "b", "c", "n"],
+                        )
 
         gap = np.zeros(1, dtype=np.int64)
         for batch in batches:
