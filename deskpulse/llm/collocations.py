@@ -40,9 +40,11 @@ SAMPLED, LEAST_SAMPLED = 16, 2
 # but never more than 16 MB.
 FEWEST_BITS, BITS = 16, 27
 # Words whose numbers a worker remembers, and the longest of them in bytes.
-REMEMBERED, LONGEST = 1 << 18, 64
+REMEMBERED, LONGEST = 1 << 17, 64
 # Words passed on, and counted, at once, and rows of counts.
-ENCODED_AT_ONCE, COUNTED_AT_ONCE, ROWS_AT_ONCE = 500_000, 1_500_000, 1 << 16
+ENCODED_AT_ONCE, COUNTED_AT_ONCE, ROWS_AT_ONCE = 300_000, 800_000, 1 << 16
+# Words of a row of numbers, about: a longer text is continued in further rows.
+ROW = 128
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 MARK = b"\xff"  # no byte of UTF-8
@@ -57,6 +59,19 @@ def words_of(text):
     return [w for w in marked.split(b" ") if w]
 
 
+def _rows(numbers):
+    """A text's numbers, cut between pieces into rows of ROW words or a little more."""
+    start = 0
+    while len(numbers) - start > ROW:
+        try:
+            end = numbers.index(0, start + ROW)
+        except ValueError:
+            break
+        yield numbers[start:end]
+        start = end + 1
+    yield numbers[start:]
+
+
 def _hash(word, seed):
     return xxhash.xxh64_intdigest(word, seed)
 
@@ -95,18 +110,21 @@ def _encoding(seed):
         numbers = Numbers()
         for batch in batches:
             langs, texts, drawn = batch.columns
-            lists, sizes, size, start = [], [], 0, 0
+            lists, sizes, rows, size = [], [], [], 0
             for i in range(batch.num_rows):
                 found = [numbers[w] for w in words_of(texts[i].as_py() or "")]
-                lists.append(found)
-                sizes.append(len(found) - found.count(0))
+                for piece in _rows(found):
+                    lists.append(piece)
+                    sizes.append(len(piece) - piece.count(0))
+                    rows.append(i)
                 size += len(found)
                 if size > ENCODED_AT_ONCE or i + 1 == batch.num_rows:
+                    picked = pa.array(rows, pa.int64())
                     yield batch_of(
-                        "text", len(lists), lang=langs[start : i + 1], sampled=drawn[start : i + 1],
+                        "text", len(lists), lang=langs.take(picked), sampled=drawn.take(picked),
                         ids=pa.array(lists, pa.list_(pa.int64())), n=pa.array(sizes, pa.int64()),
                     )
-                    lists, sizes, size, start = [], [], 0, i + 1
+                    lists, sizes, rows, size = [], [], [], 0
             spelled = [*numbers.spelled.items(), *numbers.clashing]
             numbers.spelled, numbers.clashing = {}, []
             yield batch_of(
