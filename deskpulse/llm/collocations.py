@@ -131,6 +131,7 @@ def _encoding(seed):
                 "word", len(spelled), id=pa.array([i for i, _ in spelled], pa.int64()),
                 word=pa.array([w.decode() for _, w in spelled], pa.string()),
             )
+        pa.default_memory_pool().release_unused()
 
     return encode
 
@@ -259,7 +260,7 @@ def _passing(known, proposed, widths):
             while waiting:
                 lang, lists = waiting.popitem()
                 ids = np.concatenate(lists)
-                if len(ids) < 3:
+                if len(ids) < max(widths):
                     continue
                 whole = ids != 0
                 for width in widths:
@@ -300,6 +301,7 @@ def _passing(known, proposed, widths):
                         yield from passed_on()
                         waiting, size = {}, 0
         yield from passed_on()
+        pa.default_memory_pool().release_unused()
 
     return count
 
@@ -326,16 +328,19 @@ def frequent_phrases(texts, vocabulary, least=LEAST):
     bar = max(LEAST_SAMPLED, least // SAMPLED)
     words = proposals(counts(sample, (1,), bar), 1, bits)
     pairs = proposals(counts(sample, (2,), bar, (words, None)), 2, bits)
-    known, found, widths = (None, None), None, (1, 2, 3)
+    known, found, counted, widths = (None, None), None, {}, (1, 2, 3)
     while widths:
-        fresh = counts(texts, widths, least, (words, pairs), known)
-        found = fresh if found is None else found.union(fresh)
+        # one width at a time, so that only its counts are being shuffled
+        for width in widths:
+            fresh = counts(texts, (width,), least, (words, pairs), known)
+            found = fresh if found is None else found.union(fresh)
+            counted[width] = fresh
         known = (words, pairs)
         # border phrases that are frequent become proposals
         if 1 in widths:
-            words = words | proposals(fresh.where("b IS NULL"), 1, bits)
+            words = words | proposals(counted[1], 1, bits)
         if 2 in widths:
-            pairs = pairs | proposals(fresh.where("b IS NOT NULL AND c IS NULL"), 2, bits)
+            pairs = pairs | proposals(counted[2], 2, bits)
         more_words, more_pairs = not np.array_equal(words, known[0]), not np.array_equal(pairs, known[1])
         widths = (2,) * more_words + (3,) * (more_words or more_pairs)
     return found
