@@ -116,15 +116,17 @@ def children(spark, path):
 
 
 def write_note(spark, path, text):
-    """A small text file, whole or not at all; an older one is replaced."""
+    """A small text file, whole or not at all; an older one is replaced in the same step."""
     files, where = _place(spark, path)
     draft = where.suffix(f".{uuid.uuid4().hex}")
     out = files.create(draft, True)
     out.write(bytearray(text.encode()))
     out.close()
-    files.delete(where, False)
-    if not files.rename(draft, where):
-        raise OSError(f"could not write {path}")
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(rename, 1)
+    overwrite[0] = rename.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(context.makeQualified(draft), context.makeQualified(where), overwrite)
 
 
 def read_note(spark, path):

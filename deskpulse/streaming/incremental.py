@@ -9,25 +9,18 @@ stream under one name can double or replace rows unnoticed: such a run stops bef
 reads, unless it is told to replace what the name holds.
 """
 
-import json
 import uuid
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from deskpulse.plans import indicators as computing
 from deskpulse.plans import landing, publish, sla, tickets
 from deskpulse.plans.durations import VISIT_COLUMNS, detail_of, state_detail, visits
 from deskpulse.schemas import SLA_DAYS
-from deskpulse.sources.tables import (
-    children,
-    delete,
-    exists,
-    read_note,
-    stage,
-    unstage,
-    write_note,
-)
+from deskpulse.sources.tables import delete, read_note, stage, unstage, write_note
 
 
 def new_records(spark, path, schema, fmt="parquet", **options):
@@ -103,75 +96,73 @@ def join_new(source, static, keys, checkpoint, path, **options):
     return append_new(source, checkpoint, lambda new: new.join(static, keys), path, **options)
 
 
+def together(sources):
+    """Several streams as one: every row carries its source's name and is a struct there."""
+    names = sorted(sources)
+    kinds = {name: sources[name].schema for name in names}
+
+    def tagged(name):
+        cells = [
+            (F.struct(*[F.col(_quoted(c)) for c in kinds[n].names]) if n == name else F.lit(None).cast(kinds[n])).alias(n)
+            for n in names
+        ]
+        return sources[name].select(F.lit(name).alias("_source"), *cells)
+
+    return reduce(DataFrame.union, map(tagged, names))
+
+
+def _quoted(name):
+    return "`" + name.replace("`", "``") + "`"
+
+
+def apart(batch, name):
+    """The rows of one source in a batch of ``together``; only its files are read."""
+    rows = batch.where(F.col("_source") == name)
+    return rows.select(*[F.col(_quoted(name)).getField(c).alias(c) for c in batch.schema[name].dataType.names])
+
+
 def run_new_together(spark, sources, checkpoint, folder, job, need="all", replace=False):
-    """Call job(frames) with the new records of several sources, by name.
-
-    Each source keeps its own checkpoint and parks its new records in ``folder``. A run
-    notes which batches belong together; it is settled when the job has returned, or when
-    a source had no new rows (any source for ``need="all"``, all of them for ``"any"``)
-    and the job is not called. A run whose job failed is offered again, as it was, before
-    newer records are looked for: records are not lost, and rows of different runs do not
-    meet. A job may so see a run twice and should replace what it wrote for it; see
-    ``append_together``. ``replace`` starts all sources anew: give it together with fresh
-    checkpoints for all of them, runs that are still open are dropped. Returns the number of runs the job was called for.
+    """Call job(frames, run) with the new records of several sources, by name.
+
+    The sources are one streaming query, so its checkpoint commits their progress
+    together: a run takes the files that are new in any of them. Without new rows in one
+    source (for ``need="all"``) or in all of them (``"any"``) the job is not called, and
+    the run is done; rows of different runs do not meet. A run whose job failed is offered
+    again, with the same files, before newer ones are looked for. A job may so see a run
+    twice and should replace what it wrote for it; see ``append_together``.
+
+    ``folder`` remembers which checkpoint these sources belong to, so that a lost one
+    stops the run; ``replace`` starts anew with a fresh checkpoint. The names of the
+    sources belong to the checkpoint. Returns the number of runs the job was called for.
     """
     if need not in ("all", "any"):
         raise ValueError(f"need must be 'all' or 'any', not {need}")
-    runs, called = f"{folder}/_runs", 0
-    if replace:
-        delete(spark, runs)
-    places = {
-        name: f"{folder}/stream={name}/id={claim(spark, f'{checkpoint}/{name}', folder, name, replace)}"
-        for name in sources
-    }
-
-    def offer(run):
-        batches = json.loads(read_note(spark, f"{runs}/{run}"))
-        frames = {}
-        for name, source in sources.items():
-            parts = [spark.read.schema(source.schema).parquet(p) for p in batches.get(name, [])]
-            if parts:
-                frame = reduce(DataFrame.unionByName, parts)
-                if not frame.isEmpty():
-                    frames[name] = frame
-        ready = frames and (need == "any" or len(frames) == len(sources))
-        if ready:
-            job(frames, run)
-        write_note(spark, f"{runs}/{run}.settled", "called" if ready else "not called")
-        return int(bool(ready))
-
-    noted = children(spark, runs)
-    open_runs = [n for n in noted if n.isdigit() and f"{n}.settled" not in noted]
-    for run in open_runs:
-        called += offer(run)
-    for name, source in sources.items():
-
-        def park(batch, batch_id, name=name):
-            batch.write.mode("overwrite").parquet(f"{places[name]}/batch={batch_id}")
-
-        run_new(source, f"{checkpoint}/{name}", park)
-    settled = set()
-    for run in (n for n in children(spark, runs) if n.isdigit()):
-        settled |= {p for paths in json.loads(read_note(spark, f"{runs}/{run}")).values() for p in paths}
-    batches = {}
-    for name in sources:
-        parked = [f"{places[name]}/{batch}" for batch in children(spark, places[name])]
-        # a batch that was cut off has no success note and is parked again
-        fresh = [p for p in parked if p not in settled and exists(spark, f"{p}/_SUCCESS")]
-        if fresh:
-            batches[name] = fresh
-    if batches:
-        run = f"{len([n for n in children(spark, runs) if n.isdigit()]):08d}"
-        write_note(spark, f"{runs}/{run}", json.dumps(batches))
-        called += offer(run)
-    return called
+    claim(spark, checkpoint, folder, "-".join(sorted(sources)), replace)
+    called, failures = [], []
+
+    def offer(batch, batch_id):
+        frames = {name: apart(batch, name) for name in sources}
+        frames = {name: frame for name, frame in frames.items() if not frame.isEmpty()}
+        if frames and (need == "any" or len(frames) == len(sources)):
+            try:
+                job(frames, f"{batch_id:08d}")
+            except Exception as failure:
+                failures.append(failure)
+                raise
+            called.append(batch_id)
+
+    try:
+        run_new(together(sources), checkpoint, offer)
+    except StreamingQueryException as stopped:
+        raise failures[0] if failures else stopped
+    return len(called)
 
 
 def run_both_new(spark, left, right, checkpoint, folder, job, replace=False):
     """Call job(left, right) with the new records of two sources; see ``run_new_together``.
 
-    Without new records on either side the job is not called, and what was parked is not
-    offered again: rows that arrive in different runs never meet. True if it was called.
+    Without new records on either side the job is not called, and rows that arrive in
+    different runs never meet. True if it was called.
     """
     sources = {"left": left, "right": right}
     call = lambda frames, run: job(frames["left"], frames["right"])
