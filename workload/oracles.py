@@ -559,6 +559,8 @@ ORACLES = {
     "state_job_detail": _with(_detail("visits_ticket"), *VISITED),
     "incremental_append": _with(_detail("visits_ticket"), *VISITED),
     "incremental_states": _with(VERDICT_TEXT, *JUDGED),
+    "incremental_spanning": _with(VERDICT_TEXT, *JUDGED),
+    "incremental_spanning_detail": _with(_detail("visits_ticket"), *VISITED),
     "incremental_states_detail": _with(_detail("visits_ticket"), *VISITED),
     "incremental_static_join": """
         SELECT user_id % 25 AS nation, event_id, event_type, n_name

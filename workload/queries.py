@@ -15,7 +15,7 @@ from deskpulse.operators.dedupe import distinct_rows, earliest_per_key
 from deskpulse.plans import categories as cats
 from deskpulse.plans import durations, indicators, jobs, landing, publish, sla, tickets
 from deskpulse.sources.tables import read_history, read_table, stage, work_folder
-from deskpulse.streaming import incremental
+from deskpulse.streaming import incremental, maintained
 from workload import tables as t
 
 # Users of the event table stay below five net days, so the limit is one day here.
@@ -522,6 +522,30 @@ def incremental_states_detail(spark, sf):
     return incremental.read_appended(spark, f"{_incremental_states(spark, sf)}/detail")
 
 
+def _spanning(spark, sf):
+    """Every ticket has records in both runs."""
+    holidays = t.holidays(spark, sf)
+
+    def run(streams, folder):
+        maintained.maintain_states(
+            streams["history"], holidays, f"{folder}/checkpoint", f"{folder}/tables",
+            sla_days=EVENT_LIMIT, buckets=8, years=t.EVENT_YEARS,
+        )
+
+    frames = {"history": (t.history(spark, sf), F.col("row_seq") % 2)}
+    return _in_two_runs(spark, "incremental-spanning", frames, run)
+
+
+def incremental_spanning(spark, sf):
+    """Verdicts of tickets whose records arrive in two runs."""
+    return maintained.read_maintained(spark, f"{_spanning(spark, sf)}/tables", "verdicts")
+
+
+def incremental_spanning_detail(spark, sf):
+    """The detail of tickets whose records arrive in two runs."""
+    return maintained.read_maintained(spark, f"{_spanning(spark, sf)}/tables", "detail")
+
+
 def incremental_both_new(spark, sf):
     """Second job over two runs with new rows on both sides."""
     by_ticket = F.col("id_ticket").cast("bigint") % 2
@@ -660,6 +684,8 @@ QUERIES = {
         state_job_detail,
         staged_visits,
         incremental_append,
+        incremental_spanning,
+        incremental_spanning_detail,
         incremental_static_join,
         incremental_states,
         incremental_states_detail,
