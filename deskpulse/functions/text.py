@@ -106,6 +106,11 @@ def _exact_whole(size):
     return upper.cast("decimal(19,0)") * F.lit(2**53).cast("decimal(17,0)") + lower
 
 
+def _let(value, body):
+    """body(value) with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _shortest(given):
     """Digits and power of the first one of the shortest number that reads back, or null.
 
@@ -114,24 +119,34 @@ def _shortest(given):
     """
     digits, first, sure, size = (given[p] for p in ("digits", "first", "sure", "size"))
 
-    def low(n):
-        return F.substring(digits, F.lit(1), n).try_cast("bigint")
+    def cut(n):
+        low = F.substring(digits, F.lit(1), n).try_cast("bigint")
+        return F.struct(low.alias("low"), F.substring(digits, n + 1, F.lit(40)).alias("rest"))
 
-    def up(n):
-        rest = F.substring(digits, n + 1, F.lit(40))
-        return (rest > "5") | ((rest == "5") & (low(n) % 2 == 1))
+    def up(parts):
+        return (parts["rest"] > "5") | ((parts["rest"] == "5") & (parts["low"] % 2 == 1))
 
     def if_read_back(number, n):
-        text = number.cast("string")
-        same = F.concat(text, F.lit("E"), (first - n + 1).cast("string")).try_cast("double") == size
-        return F.when(same, F.struct(text.alias("text"), (first - n + F.length(text)).alias("first")))
-
-    return F.coalesce(
-        if_read_back(low(sure) + up(sure).cast("int"), sure),
-        if_read_back(low(sure + 1) + up(sure + 1).cast("int"), sure + 1),
-        if_read_back(low(sure + 1) + (~up(sure + 1)).cast("int"), sure + 1),
-        if_read_back(low(sure + 2) + up(sure + 2).cast("int"), sure + 2),
-    )
+        def checked(text):
+            same = F.concat(text, F.lit("E"), (first - n + 1).cast("string")).try_cast("double") == size
+            return F.when(same, F.struct(text.alias("text"), (first - n + F.length(text)).alias("first")))
+
+        return _let(number.cast("string"), checked)
+
+    def nearest(n):
+        return _let(cut(n), lambda parts: if_read_back(parts["low"] + up(parts).cast("int"), n))
+
+    def either(n):
+        def tried(parts):
+            return F.coalesce(
+                if_read_back(parts["low"] + up(parts).cast("int"), n),
+                if_read_back(parts["low"] + (~up(parts)).cast("int"), n),
+            )
+
+        return _let(cut(n), tried)
+
+    whole = F.when(F.length(digits) <= sure + 1, F.struct(digits.alias("text"), first.alias("first")))
+    return F.coalesce(nearest(sure), whole, either(sure + 1), nearest(sure + 2))
 
 
 def with_float_texts(df, *names, style="python"):
@@ -157,11 +172,11 @@ def with_float_texts(df, *names, style="python"):
         return (part("size", n) >= EXACT_FROM) & (part("size", n) < EXACT_TO)
 
     def mantissa(n):
-        return F.substring_index(F.ltrim(part("plain", n), F.lit("-")), "E", 1)
+        return F.when(part("plain", n).contains("E"), F.substring_index(part("plain", n), "E", 1)).otherwise(part("plain", n))
 
     def all_digits(n):
         return F.when(is_exact(n), _exact_whole(part("size", n)).cast("string")).otherwise(
-            F.translate(mantissa(n), ".", "")
+            F.translate(mantissa(n), ".-", "")
         )
 
     def exponent(n):
@@ -173,8 +188,8 @@ def with_float_texts(df, *names, style="python"):
         whole = F.length(part("all", n)) - 1
         return F.when(is_exact(n), whole).otherwise(
             exponent(n)
-            + F.instr(mantissa(n), ".")
-            - 2
+            + F.instr(part("plain", n), ".")
+            - F.when(F.col(n) < 0, 3).otherwise(2)
             - (F.length(part("all", n)) - F.length(F.ltrim(part("all", n), F.lit("0"))))
         )
 
