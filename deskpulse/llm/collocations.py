@@ -42,7 +42,7 @@ FEWEST_BITS, BITS = 16, 27
 # Words whose numbers a worker remembers, and the longest of them in bytes.
 REMEMBERED, LONGEST = 1 << 17, 64
 # Words passed on, and counted, at once, and rows of counts.
-ENCODED_AT_ONCE, COUNTED_AT_ONCE, ROWS_AT_ONCE = 300_000, 800_000, 1 << 16
+ENCODED_AT_ONCE, COUNTED_AT_ONCE, ROWS_AT_ONCE = 200_000, 300_000, 1 << 15
 # Words of a row of numbers, about: a longer text is continued in further rows.
 ROW = 128
 
