@@ -4,8 +4,6 @@ from pyspark.sql import functions as F
 
 from deskpulse.schemas import ALL_REQUESTS, SLA_DAYS, WORKING_STATES
 
-EXACT = "decimal(38,22)"
-
 
 def _as_column(column):
     return F.col(column) if isinstance(column, str) else column
@@ -45,24 +43,10 @@ def number_or_null(column):
     return _as_column(column).try_cast("double")
 
 
-def exact_number(column):
-    """A number as a decimal, so that its sums do not depend on the order of the rows.
-
-    Unreadable texts and NaN give null. A number that does not survive the way to 20
-    digits before and 18 behind the point and back fails the job.
-    """
-    value = number_or_null(column)
-    exact = _as_column(column).cast("string").try_cast(EXACT)
-    message = F.concat(F.lit("number does not fit exact sums: "), _as_column(column).cast("string"))
-    return (
-        F.when(value.isNull() | F.isnan(value), None)
-        .when(exact.cast("double") == value, exact)
-        .otherwise(F.raise_error(message).cast(EXACT))
-    )
-
-
-def exact_or_zero(column):
-    return F.coalesce(exact_number(column), F.lit(0).cast(EXACT))
+def number_or_zero(column):
+    """A number, zero where it is missing, unreadable or NaN."""
+    number = number_or_null(column)
+    return F.when(number.isNull() | F.isnan(number), 0.0).otherwise(number)
 
 
 def covers_all_requests(request):

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from deskpulse.functions.text import request_key
-from deskpulse.functions.values import EXACT, exact_number, exact_or_zero
+from deskpulse.functions.values import number_or_null, number_or_zero
+from deskpulse.operators.exact_sums import ROW, combined, spread, summed
 from deskpulse.plans.categories import flows_by_branch, repaired_categories
 from deskpulse.schemas import (
     ALL_REQUESTS,
@@ -14,25 +15,20 @@ from deskpulse.schemas import (
 )
 
 SUMS = ("volumen_total_casos", "total_tiempo", "sum_casos_ok")
+TICKET_KEYS = ("proyecto", "flujo", "tipo_solicitud", "date")
+ROLLUP_KEYS = ("Id", "fecha", "proyecto", "flujo", "tipo_solicitud")
 
 
-def _as_doubles(df):
-    return df.withColumns({name: F.col(name).cast("double") for name in SUMS})
+def _numbers(tickets, zero_fill=False):
+    """The numbers of tickets in the rows that exact sums are made of."""
+    number = number_or_zero if zero_fill else number_or_null
+    named = ("volumen_total_casos", "diferencia_tiempo_festivos", "sum_casos_ok")
+    return spread(tickets, TICKET_KEYS, {name: number(c) for name, c in zip(SUMS, named)})
 
 
 def request_sums(tickets, zero_fill=False):
     """Sums per project, flow, request type and month; unreadable numbers are skipped."""
-    return _as_doubles(_exact_request_sums(tickets, zero_fill))
-
-
-def _exact_request_sums(tickets, zero_fill):
-    """Sums as decimals: they become doubles once, at the end."""
-    number = exact_or_zero if zero_fill else exact_number
-    return tickets.groupBy("proyecto", "flujo", "tipo_solicitud", "date").agg(
-        F.sum(number("volumen_total_casos")).alias("volumen_total_casos"),
-        F.sum(number("diferencia_tiempo_festivos")).alias("total_tiempo"),
-        F.sum(number("sum_casos_ok")).alias("sum_casos_ok"),
-    )
+    return combined(_numbers(tickets, zero_fill), TICKET_KEYS, SUMS)
 
 
 def rollups(tickets, zero_fill=False):
@@ -41,26 +37,24 @@ def rollups(tickets, zero_fill=False):
     The tickets are read and grouped once. The grouping sets run over those sums,
     so only they are doubled, never the tickets.
     """
-    rolled = _as_doubles(_exact_rollups(tickets, zero_fill))
+    keys = [*ROLLUP_KEYS, "all_requests"]
     ratios = {
         "ratio_ok": F.try_divide("sum_casos_ok", "volumen_total_casos"),
         "ratio_tiempop": F.try_divide("total_tiempo", "volumen_total_casos"),
     }
-    columns = [c for c in rolled.columns if c != "all_requests"]
-    return rolled.withColumns(ratios).select(*columns, *ratios, "all_requests")
+    rolled = combined(_exact_rollups(tickets, zero_fill), keys, SUMS).withColumns(ratios)
+    return rolled.select(*ROLLUP_KEYS, *SUMS, *ratios, "all_requests")
 
 
 def _exact_rollups(tickets, zero_fill):
-    sums = _exact_request_sums(tickets, zero_fill)
+    """Both rollups as rows of exact sums: they become doubles once, at the end."""
+    sums = summed(_numbers(tickets, zero_fill), TICKET_KEYS)
+    some = ["proyecto", "flujo", "date", "_measure", "_bin"]
     grouped = sums.groupingSets(
-        [["proyecto", "flujo", "date"], ["proyecto", "flujo", "tipo_solicitud", "date"]],
-        "proyecto",
-        "flujo",
-        "tipo_solicitud",
-        "date",
+        [some, [*some, "tipo_solicitud"]], *TICKET_KEYS, "_measure", "_bin"
     ).agg(
         (F.grouping("tipo_solicitud") == 1).alias("all_requests"),
-        *[F.sum(name).alias(name) for name in SUMS],
+        F.sum("_part").alias("_part"),
     )
     return grouped.select(
         F.when(F.col("all_requests"), 1).otherwise(2).alias("Id"),
@@ -70,7 +64,7 @@ def _exact_rollups(tickets, zero_fill):
         F.when(F.col("all_requests"), ALL_REQUESTS)
         .otherwise(F.col("tipo_solicitud"))
         .alias("tipo_solicitud"),
-        *SUMS,
+        *ROW,
         "all_requests",
     )
 
@@ -82,20 +76,22 @@ def for_listed_flows(rolled, categories):
 
 def categorised(tickets, categories, zero_fill=False):
     """Rollups with the categories they feed, sums as doubles; see ``_categorised``."""
-    return _as_doubles(_categorised(tickets, categories, zero_fill))
+    keys = [*ROLLUP_KEYS, "all_requests"]
+    rolled = combined(_exact_rollups(tickets, zero_fill), keys, SUMS)
+    return _categorised(rolled, categories, SUMS)
 
 
-def _categorised(tickets, categories, zero_fill=False):
+def _categorised(rolled, categories, values=ROW):
     """Rollups joined to their categories by type and project_flow_request key.
 
     The key alone decides, not the branch: a ticket whose own request type is 'Todas'
     also feeds the category over all requests. Repeated categories repeat rows.
     """
-    keyed = for_listed_flows(_exact_rollups(tickets, zero_fill), categories).select(
+    keyed = for_listed_flows(rolled, categories).select(
         "tipo_indicador",
         request_key("proyecto", "flujo", "tipo_solicitud").alias("id_pro_flu_sol"),
         "fecha",
-        *SUMS,
+        *values,
     )
     wanted = categories.select(
         "tipo_indicador", "id_pro_flu_sol", "id_grupo", "id_indicador", "nombre_indicador"
@@ -105,25 +101,23 @@ def _categorised(tickets, categories, zero_fill=False):
 
 def measured(fed):
     """One value per indicator and month, in the 13-column shape."""
-    volume, time, ok = (F.sum(name).cast("double") for name in SUMS)
+    volume, time, ok = (F.col(name) for name in SUMS)
     kind = F.col("tipo_indicador")
     value = (
         F.when(kind == "Q", volume)
         .when(kind == "ANS", F.try_divide(time, volume))
         .when(kind == "KPI", F.try_divide(ok, volume))
     )
-    grouped = fed.filter(kind.isin(*INDICATOR_TYPES)).groupBy(
-        "id_grupo", "id_indicador", "nombre_indicador", "tipo_indicador", "fecha"
-    )
+    keys = ["id_grupo", "id_indicador", "nombre_indicador", "tipo_indicador", "fecha"]
     blank = F.lit("")
     return (
-        grouped.agg(value.alias("valor"))
+        combined(fed.filter(kind.isin(*INDICATOR_TYPES)), keys, SUMS)
         .select(
             F.lit(0).alias("tipo_reg"),
             F.col("id_indicador").alias("id"),
             F.col("nombre_indicador").alias("nombre"),
             "fecha",
-            "valor",
+            value.alias("valor"),
             *[blank.alias(c) for c in ("valor_ant", "medida1", "medida2", "medida3")],
             F.col("id_grupo").alias("aplicacion_proceso"),
             *[blank.alias(c) for c in ("alegacion", "calibracion", "descripcion")],
@@ -146,7 +140,7 @@ def indicators(
     categories = repaired_categories(raw_categories, mappings).filter(
         F.col("tipo_indicador").isin(*types)
     )
-    return measured(_categorised(tickets, categories, zero_fill))
+    return measured(_categorised(_exact_rollups(tickets, zero_fill), categories))
 
 
 def indicator_totals(tickets, raw_categories, kind):
@@ -154,52 +148,40 @@ def indicator_totals(tickets, raw_categories, kind):
     if kind not in ("ANS", "KPI"):
         raise ValueError(f"kind must be ANS or KPI, not {kind}")
     categories = repaired_categories(raw_categories).filter(F.col("tipo_indicador") == kind)
-    name, summed = ("tiempo", "total_tiempo") if kind == "ANS" else ("sum_casos_ok",) * 2
-    return (
-        _categorised(tickets, categories)
-        .groupBy(F.col("id_indicador").alias("id"))
-        .agg(
-            F.sum("volumen_total_casos").cast("double").alias("nombre"),
-            F.sum(summed).cast("double").alias(name),
-        )
-        .select(F.lit(0).alias("tipo_reg"), "id", "nombre", name)
+    name, measure = ("tiempo", "total_tiempo") if kind == "ANS" else ("sum_casos_ok",) * 2
+    fed = _categorised(_exact_rollups(tickets, False), categories)
+    totals = combined(fed, ["id_indicador"], ("volumen_total_casos", measure))
+    return totals.select(
+        F.lit(0).alias("tipo_reg"),
+        F.col("id_indicador").alias("id"),
+        F.col("volumen_total_casos").alias("nombre"),
+        F.col(measure).alias(name),
     )
 
 
-def _exact_sum_sql(name):
-    """``exact_number`` and its sum in SQL."""
-    value, text = f"try_cast({name} AS double)", f"try_cast(CAST({name} AS string) AS {EXACT})"
-    return f"""
-       CAST(sum(CASE WHEN {value} IS NULL OR isnan({value}) THEN NULL
-                     WHEN CAST({text} AS double) = {value} THEN {text}
-                     ELSE CAST(raise_error('number does not fit exact sums: ' || {name}) AS {EXACT})
-                END) AS double)"""
-
-
-ROLLUP_BY_SQL = f"""
+ROLLUP_BY_SQL = """
 SELECT :branch AS Id, date AS fecha, proyecto, flujo,
        CASE WHEN :branch = 1 THEN :all_requests ELSE tipo_solicitud END AS tipo_solicitud,
-       {_exact_sum_sql("volumen_total_casos")} AS volumen_total_casos,
-       {_exact_sum_sql("diferencia_tiempo_festivos")} AS total_tiempo,
-       {_exact_sum_sql("sum_casos_ok")} AS sum_casos_ok
-FROM {{tickets}}
+       _measure, _bin, sum(_part) AS _part
+FROM {numbers}
 WHERE array_contains(CAST(:flows AS array<string>), flujo)
 GROUP BY date, proyecto, flujo,
-         CASE WHEN :branch = 1 THEN :all_requests ELSE tipo_solicitud END
+         CASE WHEN :branch = 1 THEN :all_requests ELSE tipo_solicitud END, _measure, _bin
 """
 
 
 def rollup_by_sql(tickets, branch, flows):
     """One rollup as SQL, all values and the table passed as parameters.
 
-    The frame stands for ``{tickets}`` under a view name of its own.
+    The frame with the tickets' numbers stands for ``{numbers}`` under a view name of its own.
     """
-    return tickets.sparkSession.sql(
+    rolled = tickets.sparkSession.sql(
         ROLLUP_BY_SQL,
         args={
             "branch": branch,
             "all_requests": ALL_REQUESTS,
             "flows": F.array(*[F.lit(f) for f in flows]),
         },
-        tickets=tickets,
+        numbers=_numbers(tickets),
     )
+    return combined(rolled, ROLLUP_KEYS, SUMS)

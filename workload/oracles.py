@@ -227,15 +227,16 @@ STEPS["customer_categories"] = _categories("customer_desc")
 
 
 def _exact(number):
-    return f"sum(CAST(CAST({number} AS VARCHAR) AS DECIMAL(38, 22)))"
+    """The sum of doubles in units of 2**-64, which is exact for the numbers of these tables."""
+    return f"sum(CAST({number} * pow(2, 64) AS HUGEINT))"
 
 
 def _double(exact):
-    """Through the text: a decimal itself is divided as a double, which rounds twice."""
-    return f"CAST(CAST({exact} AS VARCHAR) AS DOUBLE)"
+    """Through the text, which is rounded once."""
+    return f"CAST(CAST({exact} AS VARCHAR) AS DOUBLE) / pow(2, 64)"
 
 
-# Exact sums, turned into doubles once at the end.
+# Exact sums of doubles, rounded once at the end.
 SUMS = (
     f"{_exact('volumen_total_casos')} AS volumen_total_casos, {_exact('net')} AS total_tiempo, "
     f"{_exact('ok_cases')} AS sum_casos_ok"
@@ -284,8 +285,8 @@ STEPS["event_fed"] = _fed("event_tickets", "customer_categories")
 _VOLUME = _double("sum(volumen_total_casos)")
 VALUES = {
     "Q": _VOLUME,
-    "ANS": f"{_double('sum(total_tiempo)')} / nullif({_VOLUME}, 0)",
-    "KPI": f"{_double('sum(sum_casos_ok)')} / nullif({_VOLUME}, 0)",
+    "ANS": f"({_double('sum(total_tiempo)')}) / nullif({_VOLUME}, 0)",
+    "KPI": f"({_double('sum(sum_casos_ok)')}) / nullif({_VOLUME}, 0)",
 }
 
 
@@ -493,6 +494,13 @@ ORACLES = {
            FROM order_desc GROUP BY ALL""",
         "order_desc",
     ),
+    "sums_any_size": """
+        SELECT l_returnflag AS proyecto, CAST(l_linenumber AS VARCHAR) AS flujo, l_linestatus AS tipo_solicitud,
+               strftime(l_shipdate, '%m/%Y') AS date,
+               fsum(l_extendedprice * pow(10, l_partkey % 61 - 30)) AS volumen_total_casos,
+               fsum(l_extendedprice * pow(10, l_partkey % 61 - 30)) AS total_tiempo,
+               CAST(sum(l_quantity) AS DOUBLE) AS sum_casos_ok
+        FROM lineitem GROUP BY ALL""",
     "composite_key_join": _with(
         f"SELECT * REPLACE ({DOUBLE_SUMS}) FROM order_fed", *FED
     ),

@@ -292,6 +292,23 @@ def fill_zero_option(spark, sf):
     return indicators.request_sums(lines, zero_fill=True)
 
 
+def sums_any_size(spark, sf):
+    """Sums of numbers from 1e-30 to 1e35, and of such that cancel but for the quantities."""
+    power = F.pow(F.lit(10.0), (F.col("l_partkey") % 61 - 30).cast("double"))
+    lines = t.table(spark, sf, "lineitem").withColumn("x", F.col("l_extendedprice") * power)
+    numbers = F.posexplode(F.array("x", F.col("l_quantity").cast("double"), -F.col("x")))
+    tickets = lines.select("*", numbers.alias("place", "number")).select(
+        F.col("l_returnflag").alias("proyecto"),
+        F.col("l_linenumber").cast("string").alias("flujo"),
+        F.col("l_linestatus").alias("tipo_solicitud"),
+        F.date_format("l_shipdate", "MM/yyyy").alias("date"),
+        F.when(F.col("place") == 0, F.col("x")).alias("volumen_total_casos"),
+        F.when(F.col("place") == 0, F.col("x").cast("string")).alias("diferencia_tiempo_festivos"),
+        F.col("number").alias("sum_casos_ok"),
+    )
+    return indicators.request_sums(tickets)
+
+
 def composite_key_join(spark, sf):
     return indicators.categorised(
         _tickets(spark, sf), cats.repaired_categories(_categories(spark, sf))
@@ -660,6 +677,7 @@ QUERIES = {
         rollup_by_request,
         rollup_parameterised,
         fill_zero_option,
+        sums_any_size,
         composite_key_join,
         indicator_q,
         indicator_ans,
