@@ -1,12 +1,16 @@
 """Quality rules: robust multivariate outliers of text statistics, in Spark expressions.
 
 Statistics of a text become a vector of logarithms. For each language and source the
-minimum-covariance-determinant estimate of mean and covariance is found by concentration
-steps: estimate from the closest part of the rows, measure all rows, take the closest
-part again. A row is rejected by its Mahalanobis distance. All sums are of whole numbers,
-so results do not depend on the order of rows.
+minimum-covariance-determinant estimate of mean and covariance is searched: from several
+starts, concentration steps estimate from the closest half of the rows, measure all rows
+and take the closest half again, until the determinant stops falling; the lowest one wins.
+Its rows within the 97.5 % bound give the final estimate. A row is rejected by its
+Mahalanobis distance. All sums are of whole numbers and the starts are not random, so
+results do not depend on the order of rows.
 """
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,21 +19,17 @@ from deskpulse.llm.common import checkpointed, column, let, small, word_list
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
-# Share of the rows the estimate rests on, and concentration steps.
-CORE = 0.75
-STEPS = 4
-# Languages and sources with fewer rows are pooled by language, then altogether.
-MIN_ROWS = 100
+# Share of the rows an estimate rests on: up to half of a group may be outliers.
+CORE = 0.5
+# All starts take SCREENING steps; the FINALISTS of a group with the lowest determinants
+# go on until theirs falls by less than SETTLED (in logarithms).
+SCREENING = 2
+FINALISTS = 2
+SETTLED = 1e-6
 # Vectors are whole multiples of 1/UNIT.
 UNIT = 1000
-# Median of chi-square with as many degrees of freedom as there are statistics (6), to
-# which the middle distance of a group is scaled.
-MEDIAN = 5.348
-# Squared scaled distance from which a row is an outlier. Text statistics have long tails;
-# under a normal law one row in ten million lies so far off.
-CUTOFF = 43.0
-# The statistics, and the spread of each that counts at least: shares that are zero in
-# nearly every text would have none.
+# The statistics, and the spread of each, given those before it, that counts at least:
+# shares that are zero in nearly every text would have none.
 STATISTICS = {
     "length": 0.1,
     "word_length": 0.1,
@@ -40,6 +40,26 @@ STATISTICS = {
 }
 FLOORS = [UNIT * spread for spread in STATISTICS.values()]
 SIZE = len(STATISTICS)
+# Languages and sources with fewer rows are pooled by language, then altogether: an
+# estimate takes about five rows for each statistic.
+MIN_ROWS = 5 * SIZE
+# Points of the chi-square law with as many degrees of freedom as there are statistics (6).
+MEDIAN = 5.348
+POINT_975 = 14.449
+# Squared distance from which a row is an outlier. Text statistics have longer tails than
+# the normal law, under which three rows in a million lie so far off.
+CUTOFF = 36.0
+
+
+def _chi_square(x, freedom):
+    """Share of the chi-square law below x, for an even number of degrees of freedom."""
+    terms = [(x / 2) ** k / math.factorial(k) for k in range(freedom // 2)]
+    return 1 - math.exp(-x / 2) * sum(terms)
+
+
+# The closest rows of a normal sample spread less than all; covariances grow by these.
+CORE_FACTOR = CORE / _chi_square(MEDIAN, SIZE + 2)
+FINAL_FACTOR = 0.975 / _chi_square(POINT_975, SIZE + 2)
 
 
 def _repeated_words(words):
@@ -139,22 +159,62 @@ def _grouped(rows):
     return rows.join(small(names), same, "left").drop("l", "s")
 
 
-def _start(rows):
-    """Median and spread of each statistic by group, as an estimate without covariances."""
+def _starts(rows):
+    """Estimates without covariances, by group, that concentration steps begin from.
+
+    Start 0 has the median and quartiles of each statistic, start 1 the middle and width
+    of its shortest half, and each further start measures one statistic alone, so that
+    outliers in it are left out at once. Shortest halves are found to 5 % of the rows.
+    """
     grid = UNIT // 100
-    quartiles = [
-        F.percentile(F.round(F.col(f"x{i}") / grid).cast("int"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}")
+    marks = [k / 20 for k in range(21)]
+    found = rows.groupBy("group").agg(
+        *[
+            F.percentile(F.round(F.col(f"x{i}") / grid).cast("int"), F.array(*map(F.lit, marks))).alias(f"q{i}")
+            for i in range(SIZE)
+        ]
+    )
+
+    def mark(i, k):
+        return F.get(F.col(f"q{i}"), F.lit(k)) * grid
+
+    halves = {
+        f"half{i}": F.array_min(
+            F.array(
+                *[
+                    F.struct(
+                        (mark(i, k + 10) - mark(i, k)).alias("width"),
+                        ((mark(i, k + 10) + mark(i, k)) / 2).alias("middle"),
+                    )
+                    for k in range(11)
+                ]
+            )
+        )
         for i in range(SIZE)
+    }
+    found = checkpointed(found.withColumns(halves))
+
+    def start(number, middle, weight):
+        columns = [middle(i).cast("double").alias(f"m{i}") for i in range(SIZE)]
+        columns += [weight(i).cast("double").alias(f"w{i}_{i}") for i in range(SIZE)]
+        return F.struct(F.lit(number).alias("start"), *columns)
+
+    def middle(i):
+        return F.col(f"half{i}")["middle"]
+
+    def weight(i):
+        return 1 / F.greatest(F.col(f"half{i}")["width"], F.lit(FLOORS[i]))
+
+    every = [
+        start(0, lambda i: mark(i, 10), lambda i: 1 / F.greatest(mark(i, 15) - mark(i, 5), F.lit(FLOORS[i]))),
+        start(1, middle, weight),
+        *[
+            start(2 + only, middle, lambda i, only=only: weight(i) if i == only else F.lit(0.0))
+            for only in range(SIZE)
+        ],
     ]
-    found = rows.groupBy("group").agg(*quartiles)
-    zero = F.lit(0.0)
-    columns = [F.col("group").alias("of")]
-    for i in range(SIZE):
-        q = [F.get(F.col(f"q{i}"), F.lit(k)) * grid for k in range(3)]
-        columns.append(q[1].alias(f"m{i}"))
-        spread = F.greatest(q[2] - q[0], F.lit(FLOORS[i]))
-        columns += [(1 / spread if i == j else zero).alias(f"w{i}_{j}") for j in range(i + 1)]
-    return found.select(*columns)
+    begun = found.select(F.col("group").alias("of"), F.explode(F.array(*every)).alias("s")).select("of", "s.*")
+    return begun.withColumns({f"w{i}_{j}": F.lit(0.0) for i in range(SIZE) for j in range(i)})
 
 
 def _distance():
@@ -175,24 +235,27 @@ def _grid(distance):
 
 def _measured(rows, estimate):
     joined = rows.join(small(estimate), F.col("group") == F.col("of"))
-    return joined.withColumn("distance", _distance()).select(*rows.columns, "distance")
+    return joined.withColumn("distance", _distance()).select(*rows.columns, "start", "distance")
 
 
 def _estimate(rows):
-    """Mean and inverse Cholesky factor of the covariance of each group's rows."""
+    """Mean, inverse Cholesky factor and determinant (its logarithm) of the covariance.
+
+    Of the rows of each group and start. A pivot of the factor is at least the floor of its
+    statistic, so statistics without spread, or that follow from others, do no harm.
+    """
     sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(SIZE)]
     sums += [
         F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}")
         for i in range(SIZE)
         for j in range(i + 1)
     ]
-    table = rows.groupBy("group").agg(F.count("*").alias("n"), *sums)
+    table = rows.groupBy("group", "start").agg(F.count("*").alias("n"), *sums)
     table = table.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in range(SIZE)})
     table = table.withColumns(
         {
             f"c{i}_{j}": F.col(f"p{i}_{j}") / F.col("n")
             - F.col(f"m{i}") * F.col(f"m{j}")
-            + (FLOORS[i] ** 2 if i == j else 0.0)
             for i in range(SIZE)
             for j in range(i + 1)
         }
@@ -200,7 +263,8 @@ def _estimate(rows):
     # the factor column by column, then its inverse column by column
     for j in range(SIZE):
         done = [F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}") for k in range(j)]
-        table = table.withColumn(f"l{j}_{j}", F.sqrt(F.col(f"c{j}_{j}") - sum(done, F.lit(0.0))))
+        pivot = F.greatest(F.col(f"c{j}_{j}") - sum(done, F.lit(0.0)), F.lit(float(FLOORS[j] ** 2)))
+        table = table.withColumn(f"l{j}_{j}", F.sqrt(pivot))
         below = {}
         for i in range(j + 1, SIZE):
             dot = sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))
@@ -219,6 +283,8 @@ def _estimate(rows):
     return checkpointed(
         table.select(
             F.col("group").alias("of"),
+            "start",
+            sum((2 * F.log(f"l{i}_{i}") for i in range(SIZE)), F.lit(0.0)).alias("determinant"),
             *[f"m{i}" for i in range(SIZE)],
             *[f"w{i}_{j}" for i in range(SIZE) for j in range(i + 1)],
         )
@@ -226,17 +292,44 @@ def _estimate(rows):
 
 
 def _closest(measured):
-    """The rows of each group within its CORE quantile of distances."""
-    limits = measured.groupBy(F.col("group").alias("of")).agg(
+    """The rows of each group and start within its CORE quantile of distances."""
+    limits = measured.groupBy(F.col("group").alias("of"), F.col("start").alias("begun")).agg(
         F.percentile(_grid(F.col("distance")), CORE).alias("limit")
     )
-    joined = measured.join(small(checkpointed(limits)), F.col("group") == F.col("of"))
+    same = (F.col("group") == F.col("of")) & (F.col("start") == F.col("begun"))
+    joined = measured.join(small(checkpointed(limits)), same)
     return joined.where(_grid(F.col("distance")) <= F.col("limit"))
 
 
+def _lowest(estimates, count):
+    place = F.row_number().over(Window.partitionBy("of").orderBy("determinant", "start"))
+    return estimates.withColumn("place", place).where(F.col("place") <= count).drop("place")
+
+
+def least_determinant(rows):
+    """The estimate of the lowest determinant found for each ``group`` of vectors x0, x1, ...
+
+    A step measures only the groups whose determinant still falls.
+    """
+    tried = checkpointed(_starts(rows))
+    for _ in range(SCREENING):
+        tried = _estimate(_closest(_measured(rows, tried)))
+    tried = checkpointed(_lowest(tried, FINALISTS))
+    settled = tried.where("false")
+    while not tried.isEmpty():
+        stepped = _estimate(_closest(_measured(rows, tried)))
+        before = tried.select("of", "start", F.col("determinant").alias("before"))
+        falls = F.col("determinant") < F.col("before") - SETTLED
+        compared = stepped.join(before, ["of", "start"])
+        on = checkpointed(compared.where(falls).select(tried.columns))
+        settled = settled.unionByName(tried.join(on, ["of", "start"], "left_anti").select(tried.columns))
+        tried = on
+    return checkpointed(_lowest(settled, 1))
+
+
 def judge(
     documents, id_col="doc_id", text_col="text", lang_col="lang", source_col="source",
-    cutoff=CUTOFF, steps=STEPS,
+    cutoff=CUTOFF,
 ):
     """One row per document with its counts, ``base_failed``, ``distance`` and ``kept``.
 
@@ -262,17 +355,9 @@ def judge(
     passed = base.where("not base_failed").withColumns(_vector())
     rows = checkpointed(_grouped(passed))
     judged = rows.where("group is not null")
-    estimate = checkpointed(_start(judged))
-    for _ in range(steps):
-        estimate = _estimate(_closest(_measured(judged, estimate)))
-    measured = _measured(judged, estimate)
-    middles = measured.groupBy(F.col("group").alias("of")).agg(
-        F.percentile(_grid(F.col("distance")), 0.5).alias("middle")
-    )
-    # undo the grid by the middle of its cell; the closest rows spread less than all, not more
-    scale = F.greatest(F.expm1((F.col("middle") + 0.5) / 100) / MEDIAN, F.lit(1.0))
-    scaled = measured.join(small(checkpointed(middles)), F.col("group") == F.col("of"))
-    scaled = scaled.withColumn("distance", F.col("distance") / scale)
+    raw = _measured(judged, least_determinant(judged))
+    final = _estimate(raw.where(F.col("distance") <= POINT_975 * CORE_FACTOR))
+    scaled = _measured(judged, final).withColumn("distance", F.col("distance") / FINAL_FACTOR)
     counts = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     nothing = F.lit(None).cast("double").alias("distance")
     every = (
