@@ -136,8 +136,11 @@ def _valid(vectors, id_col, vector_col):
 
 
 def _matrix(array):
+    """The vectors as rows, each times the power of two that brings its largest component
+    to between a half and one: cosines stay the same, and no square leaves the range."""
     flat = array.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(array), -1)
+    rows = flat.reshape(len(array), -1)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
 
 
 def nearest(vectors, every=50, id_col="vec_id", vector_col="embedding", k=NEAREST, share=None):
@@ -156,7 +159,8 @@ def nearest(vectors, every=50, id_col="vec_id", vector_col="embedding", k=NEARES
     if dim is None:
         return spark.createDataFrame([], result)
     n = rows.count()
-    thin = rows.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // SAMPLE))) == 0)
+    # each row by itself, so that one repeated over a large share is no larger a sample
+    thin = rows.where(F.rand(0) * n < SAMPLE)
     if thin.isEmpty():
         thin = rows.limit(1)
     sample = _matrix(thin.select("vector").toArrow().column(0).combine_chunks())
@@ -192,11 +196,12 @@ def nearest(vectors, every=50, id_col="vec_id", vector_col="embedding", k=NEARES
     n_query_blocks = max(1, -(-n // (every * BLOCK)))
 
     def spread(batches):
-        """Entries with the block they lie in."""
+        """Entries with the block they lie in; rows that share an id spread by their place."""
         for batch in batches:
             cells = batch.column("cell").to_numpy()
             ids = batch.column("id").to_numpy().astype(np.uint64)
-            slot = (ids * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % slots[cells].astype(np.uint64)
+            slot = (ids * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) + np.arange(len(ids), dtype=np.uint64)
+            slot = slot % slots[cells].astype(np.uint64)
             blocks = first_block[cells] + slot.astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(blocks, type=pa.int64())],

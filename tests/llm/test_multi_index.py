@@ -57,6 +57,38 @@ def test_all_cells_give_the_exact_answer(spark, block, monkeypatch):
     assert got == {q: [i for i, _ in best] for q, best in plain(rows, 10).items()}
 
 
+def test_vectors_of_any_length(spark):
+    rng = random.Random(4)
+    directions = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(200)]
+    rows = list(enumerate(directions))
+    far = [(i, [x * 10.0 ** (i % 5 * 140 - 290) for x in v]) for i, v in rows]
+    df = spark.createDataFrame(far, "vec_id long, embedding array<double>")
+    got = {}
+    for r in multi_index.nearest(df, every=10, share=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    want = plain(rows, 10)
+    assert {q: [i for i, _ in best] for q, best in got.items()} == {q: [i for i, _ in best] for q, best in want.items()}
+    for q, best in got.items():
+        assert [c for _, c in best] == pytest.approx([c for _, c in want[q]], abs=1e-12)
+
+
+def test_id_repeated_over_a_large_share(spark, monkeypatch):
+    """The sample stays small, and the rows of one id fill several blocks."""
+    monkeypatch.setattr(multi_index, "SAMPLE", 100)
+    monkeypatch.setattr(multi_index, "BLOCK", 32)
+    sampled, fit = [], multi_index.fit
+    monkeypatch.setattr(multi_index, "fit", lambda sample, *rest: sampled.append(len(sample)) or fit(sample, *rest))
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(300)]
+    rows += [(7, rows[7][1])] * 300
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in multi_index.nearest(df, every=10, share=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == {q: [i for i, _ in best] for q, best in plain(rows, 10).items()}
+    assert 50 <= sampled[0] <= 200
+
+
 def test_edges(spark):
     rows = [
         (0, [1.0, 0.0]), (50, [0.0, 2.0]), (None, [1.0, 1.0]), (100, None), (150, [0.0, 0.0]), (200, [1.0, None]),
