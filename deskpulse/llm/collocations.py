@@ -41,8 +41,8 @@ SAMPLED, LEAST_SAMPLED = 16, 2
 FEWEST_BITS, BITS = 16, 27
 # Words whose numbers a worker remembers, and the longest of them in bytes.
 REMEMBERED, LONGEST = 1 << 17, 64
-# Words passed on, and counted, at once, and rows of counts.
-ENCODED_AT_ONCE, COUNTED_AT_ONCE, ROWS_AT_ONCE = 200_000, 300_000, 1 << 15
+# Words passed on, spelled, and counted, at once, and rows of counts.
+ENCODED_AT_ONCE, SPELLED_AT_ONCE, COUNTED_AT_ONCE, ROWS_AT_ONCE = 200_000, 1 << 15, 300_000, 1 << 15
 # Words of a row of numbers, about: a longer text is continued in further rows.
 ROW = 128
 
@@ -106,6 +106,14 @@ def _encoding(seed):
             [columns[f.name].cast(f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema
         )
 
+    def spellings(numbers):
+        spelled = [*numbers.spelled.items(), *numbers.clashing]
+        numbers.spelled, numbers.clashing = {}, []
+        return batch_of(
+            "word", len(spelled), id=pa.array([i for i, _ in spelled], pa.int64()),
+            word=pa.array([w.decode() for _, w in spelled], pa.string()),
+        )
+
     def encode(batches):
         numbers = Numbers()
         for batch in batches:
@@ -118,6 +126,8 @@ def _encoding(seed):
                     sizes.append(len(piece) - piece.count(0))
                     rows.append(i)
                 size += len(found)
+                if len(numbers.spelled) > SPELLED_AT_ONCE:
+                    yield spellings(numbers)
                 if size > ENCODED_AT_ONCE or i + 1 == batch.num_rows:
                     picked = pa.array(rows, pa.int64())
                     yield batch_of(
@@ -125,12 +135,7 @@ def _encoding(seed):
                         ids=pa.array(lists, pa.list_(pa.int64())), n=pa.array(sizes, pa.int64()),
                     )
                     lists, sizes, rows, size = [], [], [], 0
-            spelled = [*numbers.spelled.items(), *numbers.clashing]
-            numbers.spelled, numbers.clashing = {}, []
-            yield batch_of(
-                "word", len(spelled), id=pa.array([i for i, _ in spelled], pa.int64()),
-                word=pa.array([w.decode() for _, w in spelled], pa.string()),
-            )
+            yield spellings(numbers)
         pa.default_memory_pool().release_unused()
 
     return encode
