@@ -316,7 +316,11 @@ def counts(texts, widths, least, proposed=(None, None), known=(None, None)):
     context = texts.sparkSession.sparkContext
     shipped = {id(t): context.broadcast(t) for t in (*proposed, *known) if t is not None}
     counting = _passing([shipped.get(id(t)) for t in known], [shipped.get(id(t)) for t in proposed], widths)
-    found = texts.select("lang", "ids").mapInArrow(counting, PHRASES).groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n"))
+    # what workers pass on is counted already by COUNTED_AT_ONCE words and hardly shrinks in
+    # a task, so it is shuffled first and summed once
+    key = ["lang", "a", "b", "c"]
+    parts = texts.select("lang", "ids").mapInArrow(counting, PHRASES).repartition(*key)
+    found = parts.groupBy(*key).agg(F.sum("n").alias("n"))
     found = checkpointed(found.where(F.col("n") >= least))
     for table in shipped.values():
         table.destroy()
