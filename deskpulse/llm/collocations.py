@@ -311,19 +311,32 @@ def _passing(known, proposed, widths):
     return count
 
 
+def _release(spark):
+    """Lets Spark remove the shuffle files of finished passes now.
+
+    Their results are checkpointed; executors keep the files until the driver's JVM
+    notices, by collecting garbage, that nothing refers to them.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def counts(texts, widths, least, proposed=(None, None), known=(None, None)):
     """(lang, a, b, c, n): exact counts of phrases, ``least`` and more; see ``_passing``."""
     context = texts.sparkSession.sparkContext
     shipped = {id(t): context.broadcast(t) for t in (*proposed, *known) if t is not None}
     counting = _passing([shipped.get(id(t)) for t in known], [shipped.get(id(t)) for t in proposed], widths)
-    # what workers pass on is counted already by COUNTED_AT_ONCE words and hardly shrinks in
-    # a task, so it is shuffled first and summed once
     key = ["lang", "a", "b", "c"]
-    parts = texts.select("lang", "ids").mapInArrow(counting, PHRASES).repartition(*key)
+    parts = texts.select("lang", "ids").mapInArrow(counting, PHRASES)
+    if min(widths) > 1:
+        # workers have counted COUNTED_AT_ONCE words together, and few phrases of more words
+        # meet again in a task: they are shuffled first and summed once
+        parts = parts.repartition(*key)
     found = parts.groupBy(*key).agg(F.sum("n").alias("n"))
     found = checkpointed(found.where(F.col("n") >= least))
+    del parts
     for table in shipped.values():
         table.destroy()
+    _release(texts.sparkSession)
     return found
 
 
