@@ -311,13 +311,14 @@ def _passing(known, proposed, widths):
     return count
 
 
-def _release(spark):
-    """Lets Spark remove the shuffle files of finished passes now.
+def _release(found):
+    """Lets Spark remove the shuffle files behind checkpointed rows now.
 
-    Their results are checkpointed; executors keep the files until the driver's JVM
-    notices, by collecting garbage, that nothing refers to them.
+    Executors keep the files until the driver's JVM notices, by collecting garbage, that
+    nothing refers to them. Spark itself refers to its last action, so one more is run.
     """
-    spark.sparkContext._jvm.System.gc()
+    found.isEmpty()
+    found.sparkSession.sparkContext._jvm.System.gc()
 
 
 def counts(texts, widths, least, proposed=(None, None), known=(None, None)):
@@ -336,7 +337,7 @@ def counts(texts, widths, least, proposed=(None, None), known=(None, None)):
     del parts
     for table in shipped.values():
         table.destroy()
-    _release(texts.sparkSession)
+    _release(found)
     return found
 
 
