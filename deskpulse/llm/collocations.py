@@ -311,16 +311,6 @@ def _passing(known, proposed, widths):
     return count
 
 
-def _release(found):
-    """Lets Spark remove the shuffle files behind checkpointed rows now.
-
-    Executors keep the files until the driver's JVM notices, by collecting garbage, that
-    nothing refers to them. Spark itself refers to its last action, so one more is run.
-    """
-    found.isEmpty()
-    found.sparkSession.sparkContext._jvm.System.gc()
-
-
 def counts(texts, widths, least, proposed=(None, None), known=(None, None)):
     """(lang, a, b, c, n): exact counts of phrases, ``least`` and more; see ``_passing``."""
     context = texts.sparkSession.sparkContext
@@ -334,10 +324,8 @@ def counts(texts, widths, least, proposed=(None, None), known=(None, None)):
         parts = parts.repartition(*key)
     found = parts.groupBy(*key).agg(F.sum("n").alias("n"))
     found = checkpointed(found.where(F.col("n") >= least))
-    del parts
     for table in shipped.values():
         table.destroy()
-    _release(found)
     return found
 
 
