@@ -26,7 +26,12 @@ def _lead_over_slices(rows, split_rows, group, order, values):
     """``split_rows`` are those of the rows whose group has more than one slice."""
     keys = [*group, "_slice"]
     at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    heads = split_rows.groupBy(*keys).agg(
+    # values of any type are aggregated by sorting, so only a slice's earliest rows go there
+    earliest = split_rows.groupBy(*keys).agg(F.min(order[0]).alias("_earliest"))
+    first_rows = split_rows.join(F.broadcast(earliest), keys).filter(
+        F.col(order[0]).eqNullSafe(F.col("_earliest"))
+    )
+    heads = first_rows.groupBy(*keys).agg(
         F.min(at).alias("_at"), F.min_by(F.struct(*values), at).alias("_head")
     )
     across = Window.partitionBy(*group).orderBy("_at") if group else Window.orderBy("_at")

@@ -31,8 +31,9 @@ def read_tables(spark, names, **options):
 def read_history(spark, path, schema=None):
     """Parquet history with ``row_seq`` from the order of files and of rows in a file.
 
-    Files are ranked by name in Spark: their names meet in one task, their rows do not.
-    Needed only for histories that do not bring a ``row_seq``.
+    Files are ranked by name in Spark: their names meet in one task, their rows do not. The
+    names travel to the rows, as the driver lists them all anyway; shuffled by its file, a
+    large file would land in one task. Needed only for histories that do not bring a ``row_seq``.
     """
     rows = read_table(spark, path, schema)
     if "row_seq" in rows.columns:
@@ -45,7 +46,7 @@ def read_history(spark, path, schema=None):
     by_name = Window.orderBy("_file")
     ranks = placed.select("_file").distinct().withColumn("_rank", F.row_number().over(by_name) - 1)
     return (
-        placed.join(ranks, "_file")
+        placed.join(F.broadcast(ranks), "_file")
         .withColumn("row_seq", F.col("_rank") * F.lit(FILE_STRIDE) + F.col("_row"))
         .drop("_file", "_rank", "_row")
     )

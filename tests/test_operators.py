@@ -279,3 +279,32 @@ def test_history_takes_its_order_from_the_files(spark, tmp_path):
     names = [r.id_ticket for r in rows]
     for letter in "ab":
         assert [n for n in names if n[0] == letter] == [f"{letter}{i}" for i in range(5)]
+
+
+def _plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_file_is_not_shuffled_to_one_task(spark, tmp_path):
+    """The ranks of the files travel to the rows, however large a table is said to be."""
+    path = str(tmp_path / "h")
+    spark.range(1000).selectExpr("cast(id as string) AS id_ticket").coalesce(1).write.parquet(path)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = io.read_history(spark, path)
+        assert "SortMergeJoin" not in _plan_of(rows)
+        assert [r.row_seq for r in rows.orderBy("row_seq").collect()] == list(range(1000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_only_the_earliest_rows_of_slices_are_sorted_for_their_heads(spark):
+    """An order that is null, or the same in a whole slice, has its heads too."""
+    rows = spark.range(3000).selectExpr("CASE WHEN id >= 5 THEN id END AS seq", "concat('s', id) AS state")
+    led = next_row.next_in_sequence(rows, "seq", ["state"], 100)
+    plan = _plan_of(led)
+    assert "_earliest" in plan[plan.rindex("SortAggregate"):]
+    found = {r.state: r.next_state for r in led.collect()}
+    assert all(found[f"s{i}"] == f"s{i + 1}" for i in range(5, 2999)) and found["s2999"] is None
+    assert [found[f"s{i}"] for i in range(5)].count("s5") == 1
