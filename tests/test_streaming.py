@@ -1,10 +1,12 @@
 """Incremental runs over growing folders."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from deskpulse import schemas
 from deskpulse.streaming import incremental
 from tests import fixtures as fx
+from workload import queries
 
 
 def _rows(df):
@@ -196,3 +198,22 @@ def test_any_new_source_is_enough_on_request(spark, tmp_path):
         spark, sources, str(tmp_path / "c"), str(tmp_path / "parked"), lambda new, run: seen.append(sorted(new)), "any"
     )
     assert called == 1 and seen == [["l"]]
+
+
+def test_rows_that_land_in_two_runs_are_computed_once(spark):
+    computed = spark.sparkContext.accumulator(0)
+
+    def seen(n):
+        computed.add(1)
+        return (n,)
+
+    rows = spark.createDataFrame(spark.sparkContext.range(90, numSlices=3).map(seen), "n long")
+    part = F.when(F.col("n") < 80, F.col("n") % 2)  # the last ten belong to neither run
+    landed = []
+
+    def run(streams, folder):
+        landed.append(sorted(r.n for r in spark.read.parquet(f"{folder}/in/numbers").collect()))
+
+    queries._in_two_runs(spark, "computed-once", {"numbers": (rows, part)}, run)
+    assert landed == [list(range(0, 80, 2)), list(range(80))]
+    assert computed.value == 90

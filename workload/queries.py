@@ -14,7 +14,7 @@ from deskpulse.operators.counts import row_counts
 from deskpulse.operators.dedupe import distinct_rows, earliest_per_key
 from deskpulse.plans import categories as cats
 from deskpulse.plans import durations, indicators, jobs, landing, publish, sla, tickets
-from deskpulse.sources.tables import read_history, read_table, stage, work_folder
+from deskpulse.sources.tables import read_history, read_table, stage, unstage, work_folder
 from deskpulse.streaming import incremental, maintained
 from workload import tables as t
 
@@ -467,16 +467,20 @@ def _in_two_runs(spark, name, frames, run):
     """run(streams, folder), twice, over folders that grow in between.
 
     ``frames`` maps names to (rows, part): the rows of part 0 land first, those of part 1
-    after the first run.
+    after the first run. The rows are computed once, for both parts.
     """
     folder = work_folder(spark, name)
+    staged = {source: stage(df.withColumn("_part", part), source) for source, (df, part) in frames.items()}
     for part in (0, 1):
         streams = {}
-        for source, (df, in_part) in frames.items():
+        for source, (df, _) in frames.items():
             place = f"{folder}/in/{source}"
-            df.filter(in_part == part).write.mode("append").parquet(place)
+            rows, _ = staged[source]
+            rows.filter(F.col("_part") == part).drop("_part").write.mode("append").parquet(place)
             streams[source] = incremental.new_records(spark, place, df.schema)
         run(streams, folder)
+    for _, path in staged.values():
+        unstage(spark, path)
     return folder
 
 
