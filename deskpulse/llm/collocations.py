@@ -50,6 +50,23 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 MARK = b"\xff"  # no byte of UTF-8
 ENCODED = "kind string, lang string, sampled boolean, ids array<long>, n long, id long, word string"
 PHRASES = "lang string, a long, b long, c long, n long"
+# Spark's setting for removing the shuffle files of an action when it ends.
+REMOVED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settled(df):
+    """checkpointed, and the shuffle files behind it removed at once.
+
+    Without the setting they stay until the driver happens to collect garbage, and those
+    of several passes lie on disk together. A plan takes the setting when it is made.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(REMOVED, "false")
+    conf.set(REMOVED, "true")
+    try:
+        return checkpointed(df.select("*"))
+    finally:
+        conf.set(REMOVED, before)
 
 
 def words_of(text):
@@ -156,7 +173,7 @@ def encoded(docs, seed=0):
     read = spark.read.schema(ENCODED).parquet(folder)
     texts = read.where("kind = 'text'").select("lang", "sampled", "ids", "n")
     spelled = read.where("kind = 'word'").groupBy("id").agg(F.min("word").alias("word"), F.max("word").alias("other"))
-    words = checkpointed(spelled)
+    words = settled(spelled)
     if not words.where("word <> other").isEmpty():
         return texts, None, folder
     return texts, words.select("id", "word"), folder
@@ -323,7 +340,7 @@ def counts(texts, widths, least, proposed=(None, None), known=(None, None)):
         # meet again in a task: they are shuffled first and summed once
         parts = parts.repartition(*key)
     found = parts.groupBy(*key).agg(F.sum("n").alias("n"))
-    found = checkpointed(found.where(F.col("n") >= least))
+    found = settled(found.where(F.col("n") >= least))
     for table in shipped.values():
         table.destroy()
     return found
@@ -425,7 +442,7 @@ def collocations(docs, least=LEAST, top=TOP, share=SHARE, seed=0):
         delete(spark, folder)
         seed += 1
     found = frequent_phrases(texts, words.count(), least)
-    candidates = checkpointed(scored(found, share))
+    candidates = settled(scored(found, share))
     best_first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("n"))
     # ties stay together here, the spelling decides below
     near_top = candidates.withColumn("place", F.rank().over(best_first)).where(F.col("place") <= top).drop("place")
@@ -442,6 +459,6 @@ def collocations(docs, least=LEAST, top=TOP, share=SHARE, seed=0):
         .join(totals, "lang")
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("n").alias("a"), "l", "r", F.col("total").alias("n"), "score")
     )
-    result = checkpointed(result)
+    result = settled(result)
     delete(spark, folder)
     return result

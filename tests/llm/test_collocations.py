@@ -2,9 +2,12 @@
 
 import random
 import re
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from deskpulse.llm import collocations
 
@@ -95,3 +98,24 @@ def test_edges(spark):
     assert got == plain(docs)
     assert collocations.collocations(df.where("false")).collect() == []
     assert collocations.collocations(df.where("text IS NULL")).collect() == []
+
+
+def test_shuffle_files_of_a_pass_are_removed(spark):
+    """Nothing that has been shuffled stays on disk beside the checkpoint."""
+    block_manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+
+    def shuffled():
+        folders = [str(f) for f in block_manager.diskBlockManager().localDirs()]
+        return {str(p) for f in folders for p in Path(f).rglob("shuffle_*")}
+
+    setting = spark.conf.get(collocations.REMOVED)
+    before = shuffled()
+    kept = collocations.settled(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(collocations.REMOVED) == setting
+    assert sum(r["count"] for r in kept.collect()) == 1000
