@@ -14,7 +14,8 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from deskpulse.llm.common import checkpointed, column, let, small, word_list
+from deskpulse.llm.common import checkpoint_folder, checkpointed, column, let, small, word_list
+from deskpulse.sources.tables import stage, unstage
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -280,14 +281,12 @@ def _estimate(rows):
                 dot = sum((F.col(f"l{i}_{k}") * F.col(f"w{k}_{j}") for k in range(j, i)), F.lit(0.0))
                 diagonal[f"w{i}_{j}"] = -dot / F.col(f"l{i}_{i}")
         table = table.withColumns(diagonal)
-    return checkpointed(
-        table.select(
-            F.col("group").alias("of"),
-            "start",
-            sum((2 * F.log(f"l{i}_{i}") for i in range(SIZE)), F.lit(0.0)).alias("determinant"),
-            *[f"m{i}" for i in range(SIZE)],
-            *[f"w{i}_{j}" for i in range(SIZE) for j in range(i + 1)],
-        )
+    return table.select(
+        F.col("group").alias("of"),
+        "start",
+        sum((2 * F.log(f"l{i}_{i}") for i in range(SIZE)), F.lit(0.0)).alias("determinant"),
+        *[f"m{i}" for i in range(SIZE)],
+        *[f"w{i}_{j}" for i in range(SIZE) for j in range(i + 1)],
     )
 
 
@@ -306,25 +305,49 @@ def _lowest(estimates, count):
     return estimates.withColumn("place", place).where(F.col("place") <= count).drop("place")
 
 
+def _stepped(rows, tried):
+    """The estimates after one more step of the ``open`` ones, which stay so if theirs falls."""
+    on = tried.where("open").drop("open")
+    values = F.struct([c for c in on.columns if c not in ("of", "start")])
+    after = _estimate(_closest(_measured(rows, on))).select("of", "start", values.alias("after"))
+    before = on.select("of", "start", values.alias("before"))
+    falls = F.col("after.determinant") < F.col("before.determinant") - SETTLED
+    compared = after.join(small(before), ["of", "start"]).select(
+        "of", "start", F.when(falls, F.col("after")).otherwise(F.col("before")).alias("e"), falls.alias("open")
+    )
+    return tried.where("not open").unionByName(compared.select("of", "start", "e.*", "open"))
+
+
 def least_determinant(rows):
     """The estimate of the lowest determinant found for each ``group`` of vectors x0, x1, ...
 
-    A step measures only the groups whose determinant still falls.
+    A step measures only the groups whose determinant still falls. Estimates go from step to
+    step in files, as one table: a checkpoint hands on the size its plan was thought to have,
+    which is a product over joins, so its digits would double with every step until they
+    filled the driver.
     """
-    tried = checkpointed(_starts(rows))
-    for _ in range(SCREENING):
-        tried = _estimate(_closest(_measured(rows, tried)))
-    tried = checkpointed(_lowest(tried, FINALISTS))
-    settled = tried.where("false")
-    while not tried.isEmpty():
-        stepped = _estimate(_closest(_measured(rows, tried)))
-        before = tried.select("of", "start", F.col("determinant").alias("before"))
-        falls = F.col("determinant") < F.col("before") - SETTLED
-        compared = stepped.join(before, ["of", "start"])
-        on = checkpointed(compared.where(falls).select(tried.columns))
-        settled = settled.unionByName(tried.join(on, ["of", "start"], "left_anti").select(tried.columns))
-        tried = on
-    return checkpointed(_lowest(settled, 1))
+    spark = rows.sparkSession
+    checkpoint_folder(spark)
+    folders = []
+
+    def staged(df):
+        table, folder = stage(df, "estimates")
+        folders.append(folder)
+        while len(folders) > 1:
+            unstage(spark, folders.pop(0))
+        return table
+
+    try:
+        tried = staged(_starts(rows))
+        for _ in range(SCREENING):
+            tried = staged(_estimate(_closest(_measured(rows, tried))))
+        tried = staged(_lowest(tried, FINALISTS).withColumn("open", F.lit(True)))
+        while not tried.where("open").isEmpty():
+            tried = staged(_stepped(rows, tried))
+        return checkpointed(_lowest(tried.drop("open"), 1))
+    finally:
+        for folder in folders:
+            unstage(spark, folder)
 
 
 def judge(
@@ -356,7 +379,7 @@ def judge(
     rows = checkpointed(_grouped(passed))
     judged = rows.where("group is not null")
     raw = _measured(judged, least_determinant(judged))
-    final = _estimate(raw.where(F.col("distance") <= POINT_975 * CORE_FACTOR))
+    final = checkpointed(_estimate(raw.where(F.col("distance") <= POINT_975 * CORE_FACTOR)))
     scaled = _measured(judged, final).withColumn("distance", F.col("distance") / FINAL_FACTOR)
     counts = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     nothing = F.lit(None).cast("double").alias("distance")

@@ -210,3 +210,30 @@ def test_edges(spark, found):
     twice = spark.createDataFrame([(None, "a b", None, None)] * 3, "doc_id long, text string, lang string, source string")
     assert [r["n_words"] for r in outliers.judge(twice).collect()] == [2, 2, 2]
     assert outliers.judge(df.where("false")).collect() == []
+
+
+def test_many_steps_leave_the_driver_small(spark, monkeypatch):
+    """What a step knows about the size of its estimates does not grow from step to step."""
+    rng = np.random.default_rng(7)
+    x = np.rint(rng.normal(2000, 700, (400, outliers.SIZE))).astype(int).tolist()
+    names = [f"x{i}" for i in range(outliers.SIZE)]
+    schema = "group string, " + ", ".join(f"{n} long" for n in names)
+    rows = spark.createDataFrame([("ab"[i % 2], *v) for i, v in enumerate(x)], schema)
+    settled, measured, sizes, lines = outliers.SETTLED, outliers._measured, [], []
+
+    def recorded(rows, estimate):
+        plan = estimate._jdf.queryExecution().optimizedPlan()
+        sizes.append(plan.stats().sizeInBytes())
+        lines.append(len(plan.toString().splitlines()))
+        # steps go on after the determinant has settled, as they do with many rows
+        monkeypatch.setattr(outliers, "SETTLED", -10 if len(sizes) < outliers.SCREENING + 4 else settled)
+        return measured(rows, estimate)
+
+    monkeypatch.setattr(outliers, "_measured", recorded)
+    found = {r["of"]: r for r in outliers.least_determinant(rows).collect()}
+    assert len(sizes) >= outliers.SCREENING + 4
+    assert max(sizes) < 1 << 20
+    assert lines[-1] == lines[outliers.SCREENING + 1]
+    for k, group in enumerate("ab"):
+        own = np.array(x[k::2], dtype=float)
+        assert found[group]["determinant"] <= least_of_random(own)[0] + 0.35
