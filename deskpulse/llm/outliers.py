@@ -27,6 +27,8 @@ CORE = 0.5
 SCREENING = 2
 FINALISTS = 2
 SETTLED = 1e-6
+# Tables of at most so many estimates are broadcast.
+FEW = 100_000
 # Vectors are whole multiples of 1/UNIT.
 UNIT = 1000
 # The statistics, and the spread of each, given those before it, that counts at least:
@@ -235,7 +237,7 @@ def _grid(distance):
 
 
 def _measured(rows, estimate):
-    joined = rows.join(small(estimate), F.col("group") == F.col("of"))
+    joined = rows.join(estimate, F.col("group") == F.col("of"))
     return joined.withColumn("distance", _distance()).select(*rows.columns, "start", "distance")
 
 
@@ -290,13 +292,13 @@ def _estimate(rows):
     )
 
 
-def _closest(measured):
+def _closest(measured, hint):
     """The rows of each group and start within its CORE quantile of distances."""
     limits = measured.groupBy(F.col("group").alias("of"), F.col("start").alias("begun")).agg(
         F.percentile(_grid(F.col("distance")), CORE).alias("limit")
     )
     same = (F.col("group") == F.col("of")) & (F.col("start") == F.col("begun"))
-    joined = measured.join(small(checkpointed(limits)), same)
+    joined = measured.join(hint(limits), same)
     return joined.where(_grid(F.col("distance")) <= F.col("limit"))
 
 
@@ -305,14 +307,24 @@ def _lowest(estimates, count):
     return estimates.withColumn("place", place).where(F.col("place") <= count).drop("place")
 
 
-def _stepped(rows, tried):
+def _hint(count):
+    """Marks tables of so many rows as ``small`` does, without counting each."""
+    return F.broadcast if count <= FEW else lambda df: df
+
+
+def _concentrated(rows, tried, hint):
+    """What each estimate becomes by one step."""
+    return _estimate(_closest(_measured(rows, hint(tried)), hint))
+
+
+def _stepped(rows, tried, hint):
     """The estimates after one more step of the ``open`` ones, which stay so if theirs falls."""
     on = tried.where("open").drop("open")
     values = F.struct([c for c in on.columns if c not in ("of", "start")])
-    after = _estimate(_closest(_measured(rows, on))).select("of", "start", values.alias("after"))
+    after = _concentrated(rows, on, hint).select("of", "start", values.alias("after"))
     before = on.select("of", "start", values.alias("before"))
     falls = F.col("after.determinant") < F.col("before.determinant") - SETTLED
-    compared = after.join(small(before), ["of", "start"]).select(
+    compared = after.join(hint(before), ["of", "start"]).select(
         "of", "start", F.when(falls, F.col("after")).otherwise(F.col("before")).alias("e"), falls.alias("open")
     )
     return tried.where("not open").unionByName(compared.select("of", "start", "e.*", "open"))
@@ -339,11 +351,12 @@ def least_determinant(rows):
 
     try:
         tried = staged(_starts(rows))
+        hint = _hint(tried.count())
         for _ in range(SCREENING):
-            tried = staged(_estimate(_closest(_measured(rows, tried))))
+            tried = staged(_concentrated(rows, tried, hint))
         tried = staged(_lowest(tried, FINALISTS).withColumn("open", F.lit(True)))
-        while not tried.where("open").isEmpty():
-            tried = staged(_stepped(rows, tried))
+        while count := tried.where("open").count():
+            tried = staged(_stepped(rows, tried, _hint(count)))
         return checkpointed(_lowest(tried.drop("open"), 1))
     finally:
         for folder in folders:
@@ -378,9 +391,9 @@ def judge(
     passed = base.where("not base_failed").withColumns(_vector())
     rows = checkpointed(_grouped(passed))
     judged = rows.where("group is not null")
-    raw = _measured(judged, least_determinant(judged))
+    raw = _measured(judged, small(least_determinant(judged)))
     final = checkpointed(_estimate(raw.where(F.col("distance") <= POINT_975 * CORE_FACTOR)))
-    scaled = _measured(judged, final).withColumn("distance", F.col("distance") / FINAL_FACTOR)
+    scaled = _measured(judged, small(final)).withColumn("distance", F.col("distance") / FINAL_FACTOR)
     counts = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     nothing = F.lit(None).cast("double").alias("distance")
     every = (
